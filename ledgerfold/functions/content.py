@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerfold.constants import EXPECTED_TYPES, HEAD_BYTES, SIGNATURES, UNASSIGNED
-from ledgerfold.functions.text import value_or
+from ledgerfold.functions.text import lookup, value_or
 
 
 def content_hash(content: Column) -> Column:
@@ -29,29 +29,26 @@ def _whole_characters(head: Column) -> Column:
 def true_type(content: Column) -> Column:
     """Type by leading bytes: a signature, `text` for UTF-8, `empty` or `unknown`."""
     head = F.substring(content, 1, HEAD_BYTES)
-    result = F.when(F.length(head) == 0, "empty")
-    for signature, kind in SIGNATURES:
-        result = result.when(F.startswith(head, F.unhex(F.lit(signature))), kind)
+    marks = "|".join(f"({signature})" for signature, _ in SIGNATURES)
+    # The first bytes in hex, reduced to the signature they begin with, if any.
+    mark = F.regexp_extract(F.hex(F.substring(content, 1, 8)), f"^(?:{marks})", 0)
     readable = F.is_valid_utf8(_whole_characters(head).cast("string"))
-    return result.when(readable, "text").otherwise("unknown")
+    return (
+        F.when(F.length(head) == 0, "empty")
+        .when(mark != "", lookup(mark, dict(SIGNATURES)))
+        .when(readable, "text")
+        .otherwise("unknown")
+    )
 
 
 def expected_types(extension: Column) -> Column:
     """Content types an extension may hold, joined by a comma; NULL if unmodelled."""
-    low = F.lower(extension)
-    result = F.lit(None).cast("string")
-    for ext, kinds in EXPECTED_TYPES.items():
-        result = F.when(low == ext, ",".join(kinds)).otherwise(result)
-    return result
+    return lookup(F.lower(extension), {ext: ",".join(kinds) for ext, kinds in EXPECTED_TYPES.items()})
 
 
 def type_disagrees(extension: Column, kind: Column) -> Column:
     """True where a modelled extension does not allow the content type."""
-    low = F.lower(extension)
-    result = F.lit(False)
-    for ext, kinds in EXPECTED_TYPES.items():
-        result = F.when(low == ext, ~kind.isin(*kinds)).otherwise(result)
-    return result
+    return F.coalesce(F.find_in_set(kind, expected_types(extension)) == 0, F.lit(False))
 
 
 def author_or_unassigned(author: Column) -> Column:

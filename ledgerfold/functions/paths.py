@@ -14,7 +14,7 @@ from ledgerfold.constants import (
     INTAKE_ROOT_LABEL,
     UNASSIGNED,
 )
-from ledgerfold.functions.text import strip
+from ledgerfold.functions.text import lookup, strip
 
 
 def manifest_path(collection: Column, inner_path: Column) -> Column:
@@ -69,12 +69,9 @@ def folder_label(path: Column) -> Column:
 def folder_hint(path: Column, hints: Mapping[str, str] = FOLDER_HINTS) -> Column:
     """Label the first folder stands for; '' when there is none (case-sensitive)."""
     inner = inner_path(path)
-    first = F.substring_index(inner, "/", 1)
-    in_folder = F.contains(inner, F.lit("/"))
-    result = F.lit("")
-    for folder, label in hints.items():
-        result = F.when(in_folder & (first == folder), label).otherwise(result)
-    return result
+    # A file at the top level is looked up as '', which stands for no folder.
+    first = F.substring_index(F.when(F.contains(inner, F.lit("/")), inner).otherwise(""), "/", 1)
+    return F.coalesce(lookup(first, hints), F.lit(""))
 
 
 def safe_bucket(value: Column) -> Column:

@@ -1,5 +1,7 @@
 """Small text helpers shared by the scalar functions."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,18 @@ def value_or(text: Column, fallback: str) -> Column:
     return F.coalesce(F.nullif(strip(text), F.lit("")), F.lit(fallback))
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal; raw, so that a backslash stands for itself."""
+    quote = "'" if "'" not in value else '"'
+    return f"r{quote}{value}{quote}"
+
+
+def lookup(key: Column, table: Mapping[str, str]) -> Column:
+    """Value of a small fixed table, NULL for other keys; the map is one literal."""
+    entries = ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
+
+
 def iso_seconds(ts: Column) -> Column:
     """A timestamp cut to whole seconds, as ISO-8601 text without a zone."""
     return F.date_format(F.date_trunc("second", ts), "yyyy-MM-dd'T'HH:mm:ss")

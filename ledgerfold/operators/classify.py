@@ -34,7 +34,9 @@ class ModelUnavailable(RuntimeError):
     """The model cannot be reached at all; the job stops instead of recording errors."""
 
 
-def _tabulate(df: DataFrame, text: Column, result: str, hint: Column | None) -> DataFrame:
+def _tabulate(
+    df: DataFrame, text: Column, result: str, hint: Column | None, keep: Sequence[str]
+) -> DataFrame:
     hint = folder_hint(F.col("path")) if hint is None else hint
     return df.select(
         "path",
@@ -45,7 +47,8 @@ def _tabulate(df: DataFrame, text: Column, result: str, hint: Column | None) ->
         hint.alias("folder_hint"),
         F.col(f"{result}.status").alias("status"),
         F.col(f"{result}.reason").alias("reason"),
-    ).select(*CLASSIFICATION_COLUMNS)
+        *keep,
+    ).select(*CLASSIFICATION_COLUMNS, *keep)
 
 
 def classify_batch(
@@ -55,12 +58,14 @@ def classify_batch(
     text: str = "text",
     window: int | None = None,
     hint: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Classify files (path, name, text) with a model that answers in JSON.
 
     `predict` gets a list of texts and returns one raw answer per text, or an
     exception for a text it failed on, which becomes a model_error row. It
-    raises to stop the job. Only the text column crosses to Python.
+    raises to stop the job. Only the text column crosses to Python. Columns in
+    `keep` are carried along, so a manifest and its labels can come from one pass.
     """
 
     @F.pandas_udf("answer STRING, error STRING")
@@ -85,7 +90,7 @@ def classify_batch(
             parse_answer(F.col("_reply.answer"), F.col("_reply.error"), labels)
         ),
     )
-    return _tabulate(judged, F.col("_text"), "_result", hint)
+    return _tabulate(judged, F.col("_text"), "_result", hint, keep)
 
 
 def keyword_tokens(text: Column) -> Column:
@@ -100,6 +105,7 @@ def classify_keyword(
     text: str = "text",
     window: int | None = None,
     hint: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Classify files (path, name, text) by counting words that speak for a label.
 
@@ -134,4 +140,4 @@ def classify_keyword(
             classification(winner, share, F.lit("ok"), reason)
         ),
     )
-    return _tabulate(judged, F.col("_text"), "_result", hint)
+    return _tabulate(judged, F.col("_text"), "_result", hint, keep)

@@ -21,7 +21,7 @@ from ledgerfold.constants import (
     UNCLASSIFIED,
 )
 from ledgerfold.functions.paths import inner_path, original_folder, safe_bucket
-from ledgerfold.functions.text import strip
+from ledgerfold.functions.text import lookup, strip
 from ledgerfold.operators.numbering import number_rows
 from ledgerfold.operators.recon import located
 from ledgerfold.operators.rules import out_of_range
@@ -29,10 +29,7 @@ from ledgerfold.operators.rules import out_of_range
 
 def rule_for_error(error_type: Column) -> Column:
     """The rule that must catch a planted error; NULL for a type no rule owns."""
-    result = F.lit(None).cast("string")
-    for kind, rule in ERROR_TYPE_RULES.items():
-        result = F.when(error_type == kind, rule).otherwise(result)
-    return result
+    return lookup(error_type, ERROR_TYPE_RULES)
 
 
 # --- planted errors against findings -----------------------------------------

@@ -26,7 +26,7 @@ from ledgerfold.constants import (
 from ledgerfold.functions.content import type_disagrees
 from ledgerfold.functions.names import is_junk, naming_reasons, normalized_stem
 from ledgerfold.functions.paths import folder_depth
-from ledgerfold.functions.text import strip
+from ledgerfold.functions.text import lookup, strip
 from ledgerfold.operators.skew import MIN_PIECE_ROWS, attach_groups
 
 FILE_RULES = (
@@ -42,17 +42,11 @@ FILE_RULES = (
 
 def severity_order(severity: Column) -> Column:
     """0 for the worst severity, counting up; NULL for an unknown one."""
-    result = F.lit(None).cast("int")
-    for at, name in enumerate(SEVERITIES):
-        result = F.when(severity == name, at).otherwise(result)
-    return result
+    return F.nullif(F.array_position(F.expr(f"array{SEVERITIES}"), severity) - 1, F.lit(-1)).cast("int")
 
 
 def severity_of(rule_id: Column) -> Column:
-    result = F.lit(None).cast("string")
-    for rule, severity in RULE_SEVERITY.items():
-        result = F.when(rule_id == rule, severity).otherwise(result)
-    return result
+    return lookup(rule_id, RULE_SEVERITY)
 
 
 # --- rules on one row --------------------------------------------------------
@@ -63,15 +57,15 @@ def out_of_range(day: Column, as_of: dt.date) -> Column:
     return (F.year(day) < EARLIEST_YEAR) | (day > F.lit(as_of))
 
 
-def _file_rule(rule: str, as_of: dt.date) -> tuple[Column, Column]:
-    """(condition, detail) of a rule that looks at one manifest row."""
+def _file_rules(as_of: dt.date) -> dict[str, tuple[Column, Column]]:
+    """(condition, detail) of every rule that looks at one manifest row."""
     name, kind = F.col("name"), F.col("true_type")
     ext = F.lower("extension")
     day = F.to_date("modified")
     depth = folder_depth(F.col("path"))
     junk = is_junk(name)
     reasons = naming_reasons(name)
-    rules = {
+    return {
         "ZERO_BYTE": ((F.col("size_bytes") == 0) | (kind == "empty"), F.lit(ZERO_BYTE_DETAIL)),
         "JUNK_FILE": (junk, F.lit(JUNK_DETAIL)),
         "ARCHIVE": (ext.isin(*ARCHIVE_EXTENSIONS), F.lit(ARCHIVE_DETAIL)),
@@ -97,7 +91,6 @@ def _file_rule(rule: str, as_of: dt.date) -> tuple[Column, Column]:
         ),
         "NAMING": (~junk & (reasons != ""), reasons),
     }
-    return rules[rule]
 
 
 def _explode_findings(df: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFrame:
@@ -122,7 +115,8 @@ def file_findings(
     manifest: DataFrame, as_of: dt.date, rules: tuple[str, ...] = FILE_RULES
 ) -> DataFrame:
     """Findings of the rules that need only the row itself; no shuffle."""
-    return _explode_findings(manifest, [(rule, *_file_rule(rule, as_of)) for rule in rules])
+    known = _file_rules(as_of)
+    return _explode_findings(manifest, [(rule, *known[rule]) for rule in rules])
 
 
 # --- rules on groups of files ------------------------------------------------

@@ -74,8 +74,8 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
                 frame = pd.DataFrame(
                     rows, columns=["inner_path", "is_folder", "size_bytes", "modified", "created"]
                 )
-                frame["modified"] = pd.to_datetime(frame["modified"])
-                frame["created"] = pd.to_datetime(frame["created"])
+                for field in ("modified", "created"):
+                    frame[field] = pd.to_datetime(frame[field]).dt.floor("s")
                 yield frame
 
     folders = spark.createDataFrame([("",)], "inner_path STRING")
