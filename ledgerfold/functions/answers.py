@@ -35,22 +35,17 @@ def no_text_reason(text: Column) -> Column:
 
 
 def classification(label: Column, confidence: Column, status: Column, reason: Column) -> Column:
-    return F.struct(
-        label.alias("label"),
-        confidence.cast("double").alias("confidence"),
-        status.alias("status"),
-        reason.alias("reason"),
-    )
+    names = ("label", "confidence", "status", "reason")
+    fields = zip(names, (label, confidence.cast("double"), status, reason))
+    return F.named_struct(*[part for name, value in fields for part in (F.lit(name), value)])
 
 
-def _failure(reason: Column) -> Column:
-    return classification(F.lit(UNCLASSIFIED), F.lit(0.0), F.lit(STATUS_MODEL_ERROR), reason)
+def _failure(status: str, reason: Column) -> Column:
+    return classification(F.lit(UNCLASSIFIED), F.lit(0.0), F.lit(status), reason)
 
 
 def no_text(text: Column) -> Column:
-    return classification(
-        F.lit(UNCLASSIFIED), F.lit(0.0), F.lit(STATUS_NO_TEXT), no_text_reason(text)
-    )
+    return _failure(STATUS_NO_TEXT, no_text_reason(text))
 
 
 def _field(fields: Column, name: str, when_null: str) -> Column:
@@ -92,10 +87,13 @@ def parse_answer(
     error = F.lit(None).cast("string") if error is None else error
     failed = F.concat(F.lit("model call failed: "), F.coalesce(error, F.lit("JSONDecodeError")))
     return (
-        F.when(error.isNotNull() | ~is_json, _failure(failed))
+        F.when(error.isNotNull() | ~is_json, _failure(STATUS_MODEL_ERROR, failed))
         .when(
             ~label.isin(*labels),
-            _failure(F.concat(F.lit("model returned invalid label "), _in_quotes(label))),
+            _failure(
+                STATUS_MODEL_ERROR,
+                F.concat(F.lit("model returned invalid label "), _in_quotes(label)),
+            ),
         )
         .otherwise(classification(label, confidence, F.lit(STATUS_OK), reason))
     )

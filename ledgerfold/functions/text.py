@@ -28,6 +28,8 @@ def value_or(text: Column, fallback: str) -> Column:
 def sql_text(value: str) -> str:
     """A SQL string literal; raw, so that a backslash stands for itself."""
     quote = "'" if "'" not in value else '"'
+    if quote in value:
+        raise ValueError(f"both kinds of quotes in {value!r}")
     return f"r{quote}{value}{quote}"
 
 

@@ -8,16 +8,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.constants import LABELS
+from ledgerfold.constants import LABELS, STATUS_OK
 from ledgerfold.functions.answers import (
-    classification,
     no_text,
     parse_answer,
     readable,
     text_window,
 )
 from ledgerfold.functions.paths import folder_hint
-from ledgerfold.schemas import CLASSIFICATION_COLUMNS
+from ledgerfold.functions.text import sql_text
 
 # Words that speak for a label, for use where no model is given.
 BUSINESS_WORDS = {
@@ -38,17 +37,19 @@ def _tabulate(
     df: DataFrame, text: Column, result: str, hint: Column | None, keep: Sequence[str]
 ) -> DataFrame:
     hint = folder_hint(F.col("path")) if hint is None else hint
-    return df.select(
+    return df.withColumns(
+        {"chars": F.length(text).cast("bigint"), "folder_hint": hint}
+    ).selectExpr(
         "path",
         "name",
-        F.length(text).cast("bigint").alias("chars"),
-        F.col(f"{result}.label").alias("label"),
-        F.col(f"{result}.confidence").alias("confidence"),
-        hint.alias("folder_hint"),
-        F.col(f"{result}.status").alias("status"),
-        F.col(f"{result}.reason").alias("reason"),
-        *keep,
-    ).select(*CLASSIFICATION_COLUMNS, *keep)
+        "chars",
+        f"{result}.label AS label",
+        f"{result}.confidence AS confidence",
+        "folder_hint",
+        f"{result}.status AS status",
+        f"{result}.reason AS reason",
+        *[f"`{c}`" for c in keep],
+    )
 
 
 def classify_batch(
@@ -99,6 +100,10 @@ def keyword_tokens(text: Column) -> Column:
     return F.concat(F.lit(" "), words, F.lit(" "))
 
 
+def _any_word(words: Sequence[str]) -> str:
+    return sql_text(f" (?:{'|'.join(words)}) ")
+
+
 def classify_keyword(
     files: DataFrame,
     words: Mapping[str, Sequence[str]] = BUSINESS_WORDS,
@@ -114,30 +119,31 @@ def classify_keyword(
     places in whole numbers. Everything stays in generated code.
     """
     labels = sorted(words)
-    counted = files.withColumn(
-        "_text", text_window(F.coalesce(F.col(text), F.lit("")), window)
-    ).withColumn("_tokens", keyword_tokens(F.col("_text")))
-    hits = {
-        label: F.regexp_count("_tokens", F.lit(f" (?:{'|'.join(words[label])}) "))
-        for label in labels
-    }
-    counted = counted.withColumns({f"_hits_{label}": hits[label] for label in labels})
-    scores = [F.col(f"_hits_{label}").cast("bigint") for label in labels]
-    counted = counted.withColumns({"_top": F.greatest(*scores), "_all": sum(scores[1:], scores[0])})
-    top, total = F.col("_top"), F.col("_all")
-    winner = F.when(top == 0, "other")
-    for label, score in zip(labels, scores):
-        winner = winner.when(score == top, label)
-    share = F.when(
-        total > 0, F.floor((top * 200 + total) / F.greatest(total * 2, F.lit(1))) / 100.0
-    ).otherwise(0.0)
-    reason = F.concat(
-        top.cast("string"), F.lit(" of "), total.cast("string"), F.lit(" keyword hits")
+    counted = (
+        files.withColumn("_text", text_window(F.coalesce(F.col(text), F.lit("")), window))
+        .withColumn("_tokens", keyword_tokens(F.col("_text")))
+        .selectExpr(
+            "*",
+            *[
+                f"CAST(regexp_count(_tokens, {_any_word(words[label])}) AS BIGINT) AS _hits_{at}"
+                for at, label in enumerate(labels)
+            ],
+        )
+    )
+    scores = [f"_hits_{at}" for at in range(len(labels))]
+    counted = counted.selectExpr(
+        "*", f"greatest({', '.join(scores)}) AS _top", f"{' + '.join(scores)} AS _all"
     )
+    winner = " ".join(f"WHEN _hits_{at} = _top THEN {sql_text(label)}" for at, label in enumerate(labels))
+    answer = f"""named_struct(
+        'label', CASE WHEN _top = 0 THEN 'other' {winner} END,
+        'confidence', IF(_all = 0, 0.0D, ((_top * 200 + _all) DIV greatest(_all * 2, 1)) / 100.0D),
+        'status', '{STATUS_OK}',
+        'reason', concat(_top, ' of ', _all, ' keyword hits'))"""
     judged = counted.withColumn(
         "_result",
         F.when(~readable(F.col("_text")), no_text(F.col("_text"))).otherwise(
-            classification(winner, share, F.lit("ok"), reason)
+            F.expr(answer)
         ),
     )
     return _tabulate(judged, F.col("_text"), "_result", hint, keep)

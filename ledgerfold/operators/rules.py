@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.constants import (
@@ -26,7 +26,7 @@ from ledgerfold.constants import (
 from ledgerfold.functions.content import type_disagrees
 from ledgerfold.functions.names import is_junk, naming_reasons, normalized_stem
 from ledgerfold.functions.paths import folder_depth
-from ledgerfold.functions.text import lookup, strip
+from ledgerfold.functions.text import lookup, sql_text, strip
 from ledgerfold.operators.skew import MIN_PIECE_ROWS, attach_groups
 
 FILE_RULES = (
@@ -57,66 +57,57 @@ def out_of_range(day: Column, as_of: dt.date) -> Column:
     return (F.year(day) < EARLIEST_YEAR) | (day > F.lit(as_of))
 
 
-def _file_rules(as_of: dt.date) -> dict[str, tuple[Column, Column]]:
-    """(condition, detail) of every rule that looks at one manifest row."""
-    name, kind = F.col("name"), F.col("true_type")
-    ext = F.lower("extension")
-    day = F.to_date("modified")
-    depth = folder_depth(F.col("path"))
-    junk = is_junk(name)
-    reasons = naming_reasons(name)
+def _file_rules(as_of: dt.date) -> dict[str, tuple[str, str]]:
+    """(condition, detail) of every rule that looks at one manifest row, in SQL."""
+    archives = ", ".join(map(sql_text, ARCHIVE_EXTENSIONS))
+    day = as_of.isoformat()
     return {
-        "ZERO_BYTE": ((F.col("size_bytes") == 0) | (kind == "empty"), F.lit(ZERO_BYTE_DETAIL)),
-        "JUNK_FILE": (junk, F.lit(JUNK_DETAIL)),
-        "ARCHIVE": (ext.isin(*ARCHIVE_EXTENSIONS), F.lit(ARCHIVE_DETAIL)),
+        "ZERO_BYTE": ("size_bytes = 0 OR true_type = 'empty'", sql_text(ZERO_BYTE_DETAIL)),
+        "JUNK_FILE": ("_junk", sql_text(JUNK_DETAIL)),
+        "ARCHIVE": (f"lower(extension) IN ({archives})", sql_text(ARCHIVE_DETAIL)),
         "EXT_MISMATCH": (
-            ~junk & ~kind.isin("empty", "unknown") & type_disagrees(F.col("extension"), kind),
-            F.concat(
-                F.lit("extension '"), ext, F.lit("' but content is '"), kind, F.lit("'")
-            ),
+            "NOT _junk AND true_type NOT IN ('empty', 'unknown') AND _disagrees",
+            """concat("extension '", lower(extension), "' but content is '", true_type, "'")""",
         ),
         "DATE_ANOMALY": (
-            out_of_range(day, as_of),
-            F.concat(
-                F.lit("modified date "),
-                F.date_format(day, "yyyy-MM-dd"),
-                F.lit(f" is out of range (before 2000 or after {as_of.isoformat()})"),
-            ),
+            "_out_of_range",
+            "concat('modified date ', date_format(modified, 'yyyy-MM-dd'), "
+            f"' is out of range (before 2000 or after {day})')",
         ),
         "DEEP_NESTING": (
-            depth > MAX_FOLDER_DEPTH,
-            F.concat(
-                depth.cast("string"), F.lit(" folders deep — easy to miss in a manual review")
-            ),
+            f"_depth > {MAX_FOLDER_DEPTH}",
+            "concat(_depth, ' folders deep — easy to miss in a manual review')",
         ),
-        "NAMING": (~junk & (reasons != ""), reasons),
+        "NAMING": ("NOT _junk AND _reasons <> ''", "_reasons"),
     }
 
 
-def _explode_findings(df: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+def _explode_findings(df: DataFrame, rules: dict[str, tuple[str, str]]) -> DataFrame:
     """Every rule that applies to a row becomes a finding, in a single pass."""
-    findings = F.array(
-        *[
-            F.when(
-                applies,
-                F.struct(
-                    F.lit(rule).alias("rule_id"),
-                    F.lit(RULE_SEVERITY[rule]).alias("severity"),
-                    detail.alias("detail"),
-                ),
-            )
-            for rule, applies, detail in rules
-        ]
+    found = ", ".join(
+        f"CASE WHEN {applies} THEN struct('{rule}' AS rule_id, "
+        f"'{RULE_SEVERITY[rule]}' AS severity, {detail} AS detail) END"
+        for rule, (applies, detail) in rules.items()
     )
-    return df.select("path", "name", F.inline(F.filter(findings, lambda f: f.isNotNull())))
+    return df.selectExpr("path", "name", f"inline(filter(array({found}), f -> f IS NOT NULL))")
 
 
 def file_findings(
     manifest: DataFrame, as_of: dt.date, rules: tuple[str, ...] = FILE_RULES
 ) -> DataFrame:
     """Findings of the rules that need only the row itself; no shuffle."""
+    name = F.col("name")
+    facts = manifest.withColumns(
+        {
+            "_junk": is_junk(name),
+            "_reasons": naming_reasons(name),
+            "_depth": folder_depth(F.col("path")),
+            "_disagrees": type_disagrees(F.col("extension"), F.col("true_type")),
+            "_out_of_range": out_of_range(F.to_date("modified"), as_of),
+        }
+    )
     known = _file_rules(as_of)
-    return _explode_findings(manifest, [(rule, *known[rule]) for rule in rules])
+    return _explode_findings(facts, {rule: known[rule] for rule in rules})
 
 
 # --- rules on groups of files ------------------------------------------------
@@ -166,34 +157,28 @@ def _group_findings(
     min_piece_rows: int,
 ) -> DataFrame:
     members = attach_groups(rows, groups, key, "n", "path", min_piece_rows)
-    same_name = F.col("first_name") == F.col("last_name")
-    listed = ~same_name & (F.col("n") <= max_listed)
     # Groups too large to list are cut into pieces, so that no window holds
     # more than about max_listed rows.
-    pieces = F.ceil(F.col("n") / max_listed)
-    piece = F.when(F.col("n") <= max_listed, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("path"), pieces)
-    )
-    whole = (
-        Window.partitionBy(key, "_piece")
-        .orderBy("name")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    named = members.withColumn("_piece", piece).withColumn(
-        "_names", F.collect_list(F.when(listed, F.col("name"))).over(whole)
+    pieced = members.selectExpr(
+        "*",
+        f"n <= {max_listed} AND first_name <> last_name AS _listed",
+        f"IF(n <= {max_listed}, 0, pmod(xxhash64(path), ceil(n / {max_listed}))) AS _piece",
     )
-    own = F.col("name")
-    others = F.when(
-        listed | same_name, F.array_join(F.filter("_names", lambda n: n != own), ", ")
-    ).otherwise(
-        F.concat(F.col("n").cast("string"), F.lit(" files sharing "), F.col(key))
+    named = pieced.selectExpr(
+        "*",
+        f"""collect_list(IF(_listed, name, NULL)) OVER (PARTITION BY `{key}`, _piece ORDER BY name
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _names""",
     )
-    return named.select(
+    # All names alike: the list of other names is empty whatever the size.
+    others = f"""CASE WHEN _listed OR first_name = last_name
+        THEN array_join(filter(_names, other -> other <> name), ', ')
+        ELSE concat(n, ' files sharing ', `{key}`) END"""
+    return named.selectExpr(
         "path",
         "name",
-        F.lit(rule).alias("rule_id"),
-        F.lit(RULE_SEVERITY[rule]).alias("severity"),
-        F.concat(F.lit(intro), others).alias("detail"),
+        f"'{rule}' AS rule_id",
+        f"'{RULE_SEVERITY[rule]}' AS severity",
+        f"concat('{intro}', {others}) AS detail",
     )
 
 
@@ -271,34 +256,21 @@ def classification_findings(
     rules: tuple[str, ...] = CLASSIFIER_RULES,
 ) -> DataFrame:
     """Findings on what the classifier said; nothing else is asked of a file without a label."""
-    ok = F.col("status") == STATUS_OK
-    label, confidence = F.col("label"), F.col("confidence")
-    hint = strip(F.col("folder_hint"))
+    facts = classifications.withColumns(
+        {"_ok": F.col("status") == STATUS_OK, "_hint": strip(F.col("folder_hint"))}
+    )
     known = {
-        "UNCLASSIFIED": (
-            ~ok,
-            F.concat(F.lit("no classification assigned — "), F.col("reason")),
-        ),
+        "UNCLASSIFIED": ("NOT _ok", "concat('no classification assigned — ', reason)"),
         "CLASS_CONFLICT": (
-            ok & (hint != "") & (label != hint),
-            F.concat(
-                F.lit("content reads as '"),
-                label,
-                F.lit("' but the file sits in a '"),
-                hint,
-                F.lit("' folder"),
-            ),
+            "_ok AND _hint <> '' AND label <> _hint",
+            """concat("content reads as '", label, "' but the file sits in a '", _hint, "' folder")""",
         ),
         "LOW_CONFIDENCE": (
-            ok & (confidence < floor),
-            F.concat(
-                F.lit("model confidence "),
-                confidence.cast("string"),
-                F.lit(f" is below {floor} — verify by hand"),
-            ),
+            f"_ok AND confidence < {floor}D",
+            f"concat('model confidence ', confidence, ' is below {floor} — verify by hand')",
         ),
     }
-    return _explode_findings(classifications, [(rule, *known[rule]) for rule in rules])
+    return _explode_findings(facts, {rule: known[rule] for rule in rules})
 
 
 # --- all of them -------------------------------------------------------------

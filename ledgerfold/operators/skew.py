@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is heavy when it holds more than 1 in HEAVY_SHARE of all rows, so there
@@ -28,23 +28,18 @@ def attach_groups(
     keys is broadcast: it has fewer than HEAVY_SHARE rows, and its pieces add up
     to less than twice that, because sizes cannot add up to more than all rows.
     """
-    total = rows.agg(F.count("*").alias("total")).scalar()
-    piece_rows = F.greatest(total / HEAVY_SHARE, F.lit(min_piece_rows))
-    heavy = groups.where(F.col(size) > piece_rows).select(
-        F.col(key).alias("_heavy_key"),
-        F.ceil(F.col(size) / piece_rows).alias("_pieces"),
+    total = rows.agg(F.count("*").alias("total"))
+    # Groups too large for one task, in pieces of at least piece_rows rows each.
+    pieces = f"IF({size} > _piece_rows, ceil({size} / _piece_rows), 1)"
+    sized = groups.withColumn(
+        "_piece_rows", F.greatest(total.scalar() / HEAVY_SHARE, F.lit(min_piece_rows))
+    ).withColumn("_pieces", F.expr(pieces))
+    heavy = sized.where("_pieces > 1").selectExpr(f"`{key}` AS _heavy_key", "_pieces")
+    spread = rows.join(F.broadcast(heavy), rows[key] == heavy["_heavy_key"], "left").selectExpr(
+        *[f"`{c}`" for c in rows.columns],
+        f"coalesce(pmod(xxhash64(`{spread_by}`), _pieces), 0) AS _piece",
     )
-    spread = (
-        rows.join(F.broadcast(heavy), rows[key] == F.col("_heavy_key"), "left")
-        .withColumn("_piece", _piece(F.col("_pieces"), spread_by))
-        .drop("_heavy_key", "_pieces")
-    )
-    pieces = F.when(F.col(size) > piece_rows, F.ceil(F.col(size) / piece_rows)).otherwise(1)
-    repeated = groups.withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces.cast("bigint") - 1))
+    repeated = sized.selectExpr(
+        *[f"`{c}`" for c in groups.columns], "explode(sequence(0L, _pieces - 1)) AS _piece"
     )
     return spread.join(repeated, [key, "_piece"]).drop("_piece")
-
-
-def _piece(pieces: Column, spread_by: str) -> Column:
-    return F.coalesce(F.pmod(F.xxhash64(F.col(spread_by)), pieces), F.lit(0)).cast("bigint")
