@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -94,14 +94,14 @@ def classify_batch(
     return _tabulate(judged, F.col("_text"), "_result", hint, keep)
 
 
-def keyword_tokens(text: Column) -> Column:
-    """Lower-case words, each between its own pair of spaces."""
-    words = F.regexp_replace(F.lower(text), "[^a-zà-ÿ]+", "  ")
-    return F.concat(F.lit(" "), words, F.lit(" "))
+# Letters a word is made of, after lower-casing; all else parts words.
+LETTERS = "[a-zà-ÿ]"
 
 
-def _any_word(words: Sequence[str]) -> str:
-    return sql_text(f" (?:{'|'.join(words)}) ")
+def keyword_hits(text: Column, words: Iterable[str]) -> Column:
+    """Every whole-word occurrence of one of the words, found in one pass over the text."""
+    pattern = f"(?<!{LETTERS})(?:{'|'.join(words)})(?!{LETTERS})"
+    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
 def classify_keyword(
@@ -119,13 +119,15 @@ def classify_keyword(
     places in whole numbers. Everything stays in generated code.
     """
     labels = sorted(words)
+    every_word = [word for label in labels for word in words[label]]
     counted = (
         files.withColumn("_text", text_window(F.coalesce(F.col(text), F.lit("")), window))
-        .withColumn("_tokens", keyword_tokens(F.col("_text")))
+        .withColumn("_found", keyword_hits(F.col("_text"), every_word))
         .selectExpr(
             "*",
             *[
-                f"CAST(regexp_count(_tokens, {_any_word(words[label])}) AS BIGINT) AS _hits_{at}"
+                f"CAST(size(filter(_found, w -> w IN ({', '.join(map(sql_text, words[label]))}))) "
+                f"AS BIGINT) AS _hits_{at}"
                 for at, label in enumerate(labels)
             ],
         )

@@ -21,7 +21,7 @@ from ledgerfold.constants import UNASSIGNED
 from ledgerfold.functions.content import author_or_unassigned, content_hash, true_type
 from ledgerfold.functions.paths import manifest_path, suffix
 from ledgerfold.operators.classify import classify_keyword
-from ledgerfold.sources.staging import new_location, stage
+from ledgerfold.sources.staging import new_location, read_spread, stage
 from ledgerfold.sources.stores import canonical, open_store, write_file
 
 AS_OF = dt.date(2026, 7, 21)
@@ -77,7 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest columns plus doc_id, lang, source and the text in `body`; one scan, no shuffle."""
     return (
-        table(spark, sf_dir, "documents")
+        read_spread(spark, f"{sf_dir}/documents.parquet", "doc_id")
         .selectExpr("doc_id", "lang", "source", *[f"{sql} AS {c}" for c, sql in _DERIVED.items()])
         .select(
             "doc_id",
@@ -107,23 +107,23 @@ class Derived:
 
     Both come from one scan of the documents and are stored without the text,
     so that rules which look at the manifest several times never hash again.
+    Without labels the documents are only hashed.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, labels: bool = True):
         files = derived_files(spark, sf_dir)
         kept = [c for c in schemas.MANIFEST_COLUMNS if c not in ("path", "name")]
-        self.rows = stage(
-            classify_keyword(
+        if labels:
+            files = classify_keyword(
                 files,
                 LANGUAGE_WORDS,
                 text="body",
                 hint=language_hint(),
-                keep=[*kept, "doc_id", "lang", "source"],
-            ),
-            "derived",
-        )
+                keep=[*kept, "doc_id", "lang"],
+            )
+        self.rows = stage(files.drop("body"), "derived")
         self.manifest = self.rows.select(*schemas.MANIFEST_COLUMNS)
-        self.classifications = self.rows.select(*schemas.CLASSIFICATION_COLUMNS)
+        self.classifications = self.rows.select(*schemas.CLASSIFICATION_COLUMNS) if labels else None
 
     @property
     def seeded(self) -> DataFrame:

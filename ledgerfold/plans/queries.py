@@ -229,17 +229,17 @@ _file_rule("rule_deep_nesting", "DEEP_NESTING")
 
 @query
 def rule_exact_dup(spark, sf_dir):
-    return rules.exact_duplicates(Derived(spark, sf_dir).manifest)
+    return rules.exact_duplicates(Derived(spark, sf_dir, labels=False).manifest)
 
 
 @query
 def rule_near_dup_name(spark, sf_dir):
-    return rules.near_duplicate_names(Derived(spark, sf_dir).manifest)
+    return rules.near_duplicate_names(Derived(spark, sf_dir, labels=False).manifest)
 
 
 @query
 def duplicate_members(spark, sf_dir):
-    return rules.duplicate_members(Derived(spark, sf_dir).manifest)
+    return rules.duplicate_members(Derived(spark, sf_dir, labels=False).manifest)
 
 
 def _class_rule(key: str, rule: str) -> None:
@@ -395,11 +395,9 @@ def status_error_count(spark, sf_dir):
 
 @query
 def hash_multiplicity(spark, sf_dir):
-    """Repeated content, apart from that of pairs whose copies share a stem."""
-    d = Derived(spark, sf_dir)
-    allowed = (
-        d.manifest.where("author = 'Unassigned'").select("sha256").distinct()
-    )
+    """Repeated content, apart from that of files without an author."""
+    d = Derived(spark, sf_dir, labels=False)
+    allowed = d.manifest.where("author = 'Unassigned'").select("sha256").distinct()
     return summaries.hash_multiplicity(d.manifest, allowed)
 
 
@@ -493,7 +491,7 @@ def copy_plan(spark, sf_dir):
 @query
 def collisions(spark, sf_dir):
     """Clashes if the files of one author were put into one flat folder."""
-    files = Derived(spark, sf_dir).manifest
+    files = Derived(spark, sf_dir, labels=False).manifest
     flat = files.select("path", F.concat_ws("/", F.lit(OUT), "author", "name").alias("dest"))
     return organize.collisions(flat)
 
@@ -501,7 +499,7 @@ def collisions(spark, sf_dir):
 @query
 def collisions_folded(spark, sf_dir):
     """Clashes by extension on a store that does not tell case apart."""
-    files = Derived(spark, sf_dir).manifest
+    files = Derived(spark, sf_dir, labels=False).manifest
     flat = files.select(
         "path", F.concat_ws("/", F.lit(OUT), "author", paths.stem(F.col("name")), "extension").alias("dest")
     )
@@ -679,7 +677,7 @@ def determinism_sample(spark, sf_dir):
 
 @query
 def planted_date_check(spark, sf_dir):
-    d = Derived(spark, sf_dir)
+    d = Derived(spark, sf_dir, labels=False)
     return gates.planted_date_check(d.seeded, d.manifest, AS_OF)
 
 
@@ -779,10 +777,9 @@ def answer_key_read(spark, sf_dir):
 
 @query
 def crossref_write(spark, sf_dir):
-    d = Derived(spark, sf_dir)
-    plan = organize.copy_plan(
-        axes.axis_lookup(d.manifest, axes.author_axis(d.manifest)), f"{OUT}/by-author"
-    )
+    d = Derived(spark, sf_dir, labels=False)
+    located = d.manifest.withColumn("bucket", content.author_or_unassigned(F.col("author")))
+    plan = organize.copy_plan(located, f"{OUT}/by-author")
     return _text_times(copies.write_crossref(plan, new_location(spark, "tree")))
 
 
@@ -914,7 +911,7 @@ def full_run_figures(spark, sf_dir):
 @query
 def no_model_run(spark, sf_dir):
     """Without a classifier: rules, author and custodian axes only."""
-    manifest = stage(derived_files(spark, sf_dir).select(*schemas.MANIFEST_COLUMNS), "manifest")
+    manifest = Derived(spark, sf_dir, labels=False).manifest
     run = full_run.judge(manifest, CUSTODIAN_RULES, OUT, AS_OF)
     found = summaries.findings_by_rule(run.findings).select(
         F.lit("rule").alias("kind"), F.col("rule_id").alias("item"), F.col("findings").alias("n")
