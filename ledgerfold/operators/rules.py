@@ -113,37 +113,39 @@ def file_findings(
 # --- rules on groups of files ------------------------------------------------
 
 
+def _all_alike(column: str) -> str:
+    """SQL aggregate: do all values of a group have one 128-bit hash?
+
+    Smallest and largest hashes are numbers, which hash aggregation can keep in
+    place; smallest and largest texts would force a sort, and a distinct count
+    another shuffle.
+    """
+    first, second = f"xxhash64({column})", f"xxhash64({column}, 'second')"
+    return f"min({first}) = max({first}) AND min({second}) = max({second})"
+
+
 def dup_groups(manifest: DataFrame) -> DataFrame:
-    """Content shared by several non-empty files: (sha256, n, first and last name)."""
+    """Content shared by several non-empty files: (sha256, n, one_name)."""
     return (
         manifest.where("size_bytes > 0")
         .groupBy("sha256")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("name").alias("first_name"),
-            F.max("name").alias("last_name"),
-        )
+        .agg(F.count("*").alias("n"), F.expr(f"{_all_alike('name')} AS one_name"))
         .where("n > 1")
     )
 
 
 def stem_groups(manifest: DataFrame) -> DataFrame:
-    """Normalised stems shared by several files of differing content.
-
-    Two hashes differ exactly when the smallest and the largest do, so no
-    distinct count is needed and every aggregate combines before the shuffle.
-    """
+    """Stems shared by several files of differing content: (stem, n, one_name)."""
     return (
-        manifest.groupBy(normalized_stem(F.col("name")).alias("stem"))
+        manifest.select(normalized_stem(F.col("name")).alias("stem"), "name", "sha256")
+        .groupBy("stem")
         .agg(
             F.count("*").alias("n"),
-            F.min("name").alias("first_name"),
-            F.max("name").alias("last_name"),
-            F.min("sha256").alias("first_hash"),
-            F.max("sha256").alias("last_hash"),
+            F.expr(f"{_all_alike('name')} AS one_name"),
+            F.expr(f"{_all_alike('sha256')} AS one_content"),
         )
-        .where("n > 1 AND first_hash <> last_hash")
-        .drop("first_hash", "last_hash")
+        .where("n > 1 AND NOT one_content")
+        .drop("one_content")
     )
 
 
@@ -161,7 +163,7 @@ def _group_findings(
     # more than about max_listed rows.
     pieced = members.selectExpr(
         "*",
-        f"n <= {max_listed} AND first_name <> last_name AS _listed",
+        f"n <= {max_listed} AS _listed",
         f"IF(n <= {max_listed}, 0, pmod(xxhash64(path), ceil(n / {max_listed}))) AS _piece",
     )
     named = pieced.selectExpr(
@@ -170,7 +172,7 @@ def _group_findings(
             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _names""",
     )
     # All names alike: the list of other names is empty whatever the size.
-    others = f"""CASE WHEN _listed OR first_name = last_name
+    others = f"""CASE WHEN _listed OR one_name
         THEN array_join(filter(_names, other -> other <> name), ', ')
         ELSE concat(n, ' files sharing ', `{key}`) END"""
     return named.selectExpr(

@@ -160,10 +160,10 @@ def _rule(rule: str, source: str, condition: str, detail: str) -> str:
 def _group_rule(rule: str, key: str, intro: str, where: str, having: str) -> str:
     """All members of a group with the names of the others."""
     return f"""SELECT d.path, d.name, '{rule}' AS rule_id, '{RULE_SEVERITY[rule]}' AS severity,
-      '{intro}' || CASE WHEN g.n <= {MAX_LISTED} OR g.first_name = g.last_name
+      '{intro}' || CASE WHEN g.n <= {MAX_LISTED} OR g.one_name
         THEN array_to_string(list_filter(g.names, lambda x: x <> d.name), ', ')
         ELSE g.n || ' files sharing ' || d.{key} END AS detail
-    FROM m d JOIN (SELECT {key}, count(*) AS n, min(name) AS first_name, max(name) AS last_name,
+    FROM m d JOIN (SELECT {key}, count(*) AS n, count(DISTINCT name) = 1 AS one_name,
         list_sort(list(name)) AS names FROM m WHERE {where} GROUP BY {key} HAVING {having}) g
       ON d.{key} = g.{key} WHERE {where}"""
 
@@ -378,8 +378,8 @@ def all_sql() -> dict[str, str]:
             CASE WHEN list_contains(accepted, label) THEN 'hit' ELSE 'miss' END AS verdict
           FROM truth JOIN cls USING (path) WHERE accepted IS NOT NULL"""),
         # aggregations
-        "dup_groups": _dm("SELECT sha256, count(*) AS n, min(name) AS first_name, max(name) AS last_name FROM m WHERE size_bytes > 0 GROUP BY 1 HAVING count(*) > 1"),
-        "stem_groups": _dm("SELECT stem, count(*) AS n, min(name) AS first_name, max(name) AS last_name FROM m GROUP BY 1 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1"),
+        "dup_groups": _dm("SELECT sha256, count(*) AS n, CAST(count(DISTINCT name) = 1 AS VARCHAR) AS one_name FROM m WHERE size_bytes > 0 GROUP BY 1 HAVING count(*) > 1"),
+        "stem_groups": _dm("SELECT stem, count(*) AS n, CAST(count(DISTINCT name) = 1 AS VARCHAR) AS one_name FROM m GROUP BY 1 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1"),
         "findings_by_severity": _dm(f""", f AS ({_rule('JUNK_FILE', 'm', *_ROW_RULES['JUNK_FILE'])} UNION ALL {_rule('NAMING', 'm', *_ROW_RULES['NAMING'])})
           SELECT s.severity, CAST(ord AS BIGINT) AS ord, count(f.path) AS findings FROM {_SEVERITIES} LEFT JOIN f ON f.severity = s.severity GROUP BY ALL"""),
         "findings_by_rule": _found("SELECT rule_id, count(*) AS findings FROM found GROUP BY 1"),

@@ -348,12 +348,16 @@ def label_vs_accepted(spark, sf_dir):
 
 @query
 def dup_groups(spark, sf_dir):
-    return rules.dup_groups(derived_files(spark, sf_dir))
+    return rules.dup_groups(derived_files(spark, sf_dir)).withColumn(
+        "one_name", F.col("one_name").cast("string")
+    )
 
 
 @query
 def stem_groups(spark, sf_dir):
-    return rules.stem_groups(derived_files(spark, sf_dir))
+    return rules.stem_groups(derived_files(spark, sf_dir)).withColumn(
+        "one_name", F.col("one_name").cast("string")
+    )
 
 
 @query
