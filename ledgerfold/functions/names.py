@@ -9,22 +9,21 @@ from ledgerfold.constants import JUNK_NAMES, JUNK_PREFIX, STATUS_WORDS
 from ledgerfold.functions.paths import stem, suffix
 from ledgerfold.functions.text import SPACE_CLASS, strip
 
-# --- fixed values: copy and version marks, each removed once, in this order --
+# --- fixed values: copy and version marks ------------------------------------
+# `copy of ` in front; at the end a version, a copy mark and a copy number, each
+# at most once and only in this order.
 STEM_MARKS = (
-    r"^copy of ",
-    SPACE_CLASS + r"*\(\p{Nd}+\)$",
-    SPACE_CLASS + "*-" + SPACE_CLASS + "*copy$",
-    r"_v\p{Nd}+$",
+    r"^copy of |"
+    r"(?:_v\p{Nd}+)?"
+    f"(?:{SPACE_CLASS}*-{SPACE_CLASS}*copy)?"
+    f"(?:{SPACE_CLASS}*" r"\(\p{Nd}+\))?$"
 )
 SCANNER_NAME = r"(?s)^scan_\p{Nd}+\z"
 
 
 def normalized_stem(name: Column) -> Column:
     """The stem without copy and version marks, so twins share one key."""
-    result = F.lower(stem(name))
-    for mark in STEM_MARKS:
-        result = F.regexp_replace(result, mark, "")
-    return strip(result)
+    return strip(F.regexp_replace(F.lower(stem(name)), STEM_MARKS, ""))
 
 
 def is_junk(name: Column) -> Column:

@@ -40,13 +40,21 @@ def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def _last_part(name: Column) -> tuple[Column, Column]:
+    """What follows the last dot, and whether it is a suffix: not in `.name` or `name.`."""
+    part = F.substring_index(name, ".", -1)
+    return part, (part != "") & (F.length(part) < F.length(name) - 1)
+
+
 def suffix(name: Column) -> Column:
-    """Last dot part with its case kept; none for `.name` and for `name.`."""
-    return F.regexp_extract(name, r"(?s)^.+(\.[^.]+)$", 1)
+    """Last dot part with its case kept."""
+    part, is_suffix = _last_part(name)
+    return F.when(is_suffix, F.concat(F.lit("."), part)).otherwise("")
 
 
 def stem(name: Column) -> Column:
-    return F.substring(name, F.lit(1), F.length(name) - F.length(suffix(name)))
+    part, is_suffix = _last_part(name)
+    return F.when(is_suffix, F.left(name, F.length(name) - F.length(part) - 1)).otherwise(name)
 
 
 def folder_depth(path: Column) -> Column:

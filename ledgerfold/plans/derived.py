@@ -21,7 +21,7 @@ from ledgerfold.constants import UNASSIGNED
 from ledgerfold.functions.content import author_or_unassigned, content_hash, true_type
 from ledgerfold.functions.paths import manifest_path, suffix
 from ledgerfold.operators.classify import classify_keyword
-from ledgerfold.sources.staging import new_location, read_spread, stage
+from ledgerfold.sources.staging import new_store_location, read_spread, stage
 from ledgerfold.sources.stores import canonical, open_store, write_file
 
 AS_OF = dt.date(2026, 7, 21)
@@ -163,7 +163,7 @@ def write_collection(files: DataFrame) -> str:
 
     The files go to a new folder in the shared folder of the session.
     """
-    home = canonical(new_location(files.sparkSession, "files"))
+    home = canonical(new_store_location(files.sparkSession, "files"))
     content = F.col("content") if "content" in files.columns else F.col("body").cast("binary")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -180,9 +180,13 @@ def _with_text(df: DataFrame, read) -> DataFrame:
 def extract_text(manifest: DataFrame) -> DataFrame:
     """Manifest rows with the text of their files, read from the collection root."""
 
+    opened = {}  # per task: one file system per root
+
     def read(row) -> str:
         root = row.collection_root
-        store, base = open_store(root)
+        if root not in opened:
+            opened[root] = open_store(root)
+        store, base = opened[root]
         with store.open_input_file(f"{base}/{row.path.split('/', 1)[1]}") as data:
             return document_text(data, row.true_type, row.extension)
 

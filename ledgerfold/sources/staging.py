@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,18 @@ def new_location(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/ledgerfold/{label}-{uuid.uuid4().hex}"
 
 
+def new_store_location(spark: SparkSession, label: str) -> str:
+    """A new location as Spark itself resolves it, for use outside of Spark's readers.
+
+    A folder named without a scheme is on the cluster's default file system;
+    the full address of a table written there tells which one that is.
+    """
+    marker = new_location(spark, label)
+    spark.range(1).write.parquet(marker)
+    address = spark.read.parquet(marker).inputFiles()[0].rsplit("/", 1)[0]
+    return f"{unquote(address)}-tree"
+
+
 def read_staged(spark: SparkSession, location: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(location)
 

@@ -1,6 +1,8 @@
 """Edges of the scalar functions."""
 
 import fnmatch
+import re
+from pathlib import PurePosixPath
 
 import pytest
 from hypothesis import given, settings
@@ -52,6 +54,28 @@ def test_normalized_stem(spark):
     assert apply(spark, pairs, names.normalized_stem) == list(pairs.values())
 
 
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(
+        st.lists(
+            st.sampled_from(["copy of ", " - copy", "-Copy", " (1)", "(22)", "_v2", "_v", "a", " ", ".", "Copy"]), max_size=6
+        ).map("".join),
+        min_size=30,
+        max_size=30,
+    )
+)
+def test_stem_marks_come_off_one_after_the_other(spark, stems):
+    marks = [r"^copy of ", r"\s*\(\d+\)$", r"\s*-\s*copy$", r"_v\d+$"]
+    given_names = [s + ".txt" for s in stems]
+    wanted = []
+    for name in given_names:
+        left = PurePosixPath(name).stem.lower()
+        for mark in marks:
+            left = re.sub(mark, "", left)
+        wanted.append(left.strip())
+    assert apply(spark, given_names, names.normalized_stem) == wanted
+
+
 def test_junk_and_naming(spark):
     assert apply(spark, ["~$a.docx", "THUMBS.DB", ".DS_Store", "desktop.ini", "a.ini"], names.is_junk) == [
         True, True, True, True, False,

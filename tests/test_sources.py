@@ -134,6 +134,11 @@ def test_copies_need_a_new_folder(spark, tmp_path):
     assert (tmp_path / "out" / "b" / "a.txt").read_text() == "a"
     assert os.stat(tmp_path / "out" / "b" / "a.txt").st_mtime == int(os.stat(root / "a.txt").st_mtime)
     assert copies.copied_bytes(log).first() == (1, 1)
+    with pytest.raises(organize.UnsafeOutput, match="leads outside"):
+        copies.copy_files(plan, str(root), str(tmp_path / "other"))
+    stray = plan.withColumn("dest", F.lit(f"{tmp_path}/out2/../c/a.txt"))
+    with pytest.raises(organize.UnsafeOutput, match="leads outside"):
+        copies.copy_files(stray, str(root), str(tmp_path / "out2"))
     with pytest.raises(organize.UnsafeOutput, match="exists"):
         copies.copy_files(plan, str(root), str(tmp_path / "out"))
     refs = copies.write_crossref(plan, str(tmp_path / "out"))
