@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.sources.staging import stage
+
 # A key is heavy when it holds more than 1 in HEAVY_SHARE of all rows, so there
 # are fewer than HEAVY_SHARE heavy keys whatever the size of the table.
 HEAVY_SHARE = 10_000
@@ -22,12 +24,15 @@ def attach_groups(
 ) -> DataFrame:
     """Inner join of `rows` with one row per key of `groups`, safe for heavy keys.
 
+    The groups are stored first: they are needed twice but aggregated once, and
+    their stored size lets Spark broadcast them whole where they are few.
     `groups.size` is the number of rows of the key. Rows of a heavy key are
     spread over pieces by a hash of `spread_by`, and the key's group row is
     repeated once per piece; all other keys join as they are. The list of heavy
     keys is broadcast: it has fewer than HEAVY_SHARE rows, and its pieces add up
     to less than twice that, because sizes cannot add up to more than all rows.
     """
+    groups = stage(groups, "groups")
     total = rows.agg(F.count("*").alias("total"))
     # Groups too large for one task, in pieces of at least piece_rows rows each.
     pieces = f"IF({size} > _piece_rows, ceil({size} / _piece_rows), 1)"

@@ -51,7 +51,7 @@ CUSTODIAN_RULES = [
 ]
 
 _DERIVED = {
-    "body": "CASE WHEN doc_id % 97 = 0 THEN '' ELSE text END",
+    "body": "CASE WHEN doc_id % 97 = 0 THEN '' ELSE coalesce(text, '') END",
     "folder": """CASE doc_id % 8
         WHEN 0 THEN 'Invoices/' WHEN 1 THEN 'Contracts/' WHEN 2 THEN 'Correspondence/'
         WHEN 3 THEN 'Reports/' WHEN 4 THEN 'Site Photos/'

@@ -28,7 +28,7 @@ def _values(rows) -> str:
 
 # --- the derived collection --------------------------------------------------
 
-_BODY = "CASE WHEN doc_id % 97 = 0 THEN '' ELSE text END"
+_BODY = "CASE WHEN doc_id % 97 = 0 THEN '' ELSE coalesce(text, '') END"
 _TYPE = """CASE WHEN {0} = '' THEN 'empty' WHEN starts_with({0}, '%PDF') THEN 'pdf'
   WHEN starts_with({0}, 'PK' || chr(3) || chr(4)) THEN 'zip'
   WHEN starts_with({0}, 'GIF87a') OR starts_with({0}, 'GIF89a') THEN 'gif' ELSE 'text' END"""
