@@ -8,7 +8,9 @@ systems instead.
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pandas as pd
 from pyarrow import fs
@@ -26,6 +28,7 @@ from ledgerfold.sources.stores import birth_time_ns, canonical, is_link, open_st
 BLOCK = 1 << 16
 TASK_BYTES = 512 << 20
 TASK_FILES = 10_000
+FOLDERS_PER_ROUND = 64
 BATCH_CHARS = 32 << 20
 
 _LISTED = "inner_path STRING, is_folder BOOLEAN, size_bytes BIGINT, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
@@ -48,29 +51,35 @@ def resolve_collection(location: str) -> str:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """All regular files below a root, hidden and empty ones too, listed level by level.
+    """All regular files below a root, hidden and empty ones too, listed in rounds.
 
-    Each level is one job over its folders, so no process sees the whole tree.
+    In a round every known folder is listed, and a limited number below it; the
+    folders left over are dealt out anew. So small trees take a round or two,
+    and no process sees the whole of a large one.
     """
     width = spark.sparkContext.defaultParallelism
 
-    def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(store: fs.FileSystem, base: str, top: str) -> Iterator[tuple]:
+        waiting = deque([top])
+        for _ in range(FOLDERS_PER_ROUND):
+            if not waiting:
+                return
+            inner = waiting.popleft()
+            for info in store.get_file_info(fs.FileSelector(f"{base}/{inner}" if inner else base)):
+                place = f"{inner}/{info.base_name}" if inner else info.base_name
+                if info.type == fs.FileType.File:
+                    born = birth_time_ns(store, info.path)
+                    yield place, False, info.size, info.mtime_ns, born
+                elif info.type == fs.FileType.Directory and not is_link(store, info.path):
+                    waiting.append(place)
+        for inner in waiting:
+            yield inner, True, 0, None, None
+
+    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_store(root)
         for folders in batches:
-            for inner in folders["inner_path"]:
-                found = store.get_file_info(fs.FileSelector(f"{base}/{inner}" if inner else base))
-                rows = [
-                    (
-                        f"{inner}/{info.base_name}" if inner else info.base_name,
-                        info.type == fs.FileType.Directory,
-                        info.size or 0,
-                        info.mtime_ns,
-                        birth_time_ns(store, info.path),
-                    )
-                    for info in found
-                    if info.type == fs.FileType.File
-                    or info.type == fs.FileType.Directory and not is_link(store, info.path)
-                ]
+            found = chain.from_iterable(entries(store, base, top) for top in folders["inner_path"])
+            while rows := list(islice(found, TASK_FILES)):
                 frame = pd.DataFrame(
                     rows, columns=["inner_path", "is_folder", "size_bytes", "modified", "created"]
                 )
@@ -81,7 +90,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     folders = spark.createDataFrame([("",)], "inner_path STRING")
     files = None
     while True:
-        level = stage(folders.repartition(width).mapInPandas(children, _LISTED), "listing")
+        level = stage(folders.repartition(width).mapInPandas(below, _LISTED), "listing")
         found = level.where("NOT is_folder").drop("is_folder")
         files = found if files is None else files.unionByName(found)
         folders = level.where("is_folder").select("inner_path")

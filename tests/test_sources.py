@@ -109,6 +109,19 @@ def test_large_and_linked_files(spark, tmp_path):
     ]
 
 
+def test_listing_takes_as_many_rounds_as_needed(spark, tmp_path, monkeypatch):
+    wanted = set()
+    for n in range(60):
+        file = tmp_path / "c" / "/".join(f"d{n % k}" for k in range(1, 2 + n % 9)) / f"f{n}"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(str(n))
+        wanted.add(str(file.relative_to(tmp_path)))
+    for limit in (1, 3, 64):
+        monkeypatch.setattr(collection, "FOLDERS_PER_ROUND", limit)
+        rows = collection.scan_collection(spark, str(tmp_path / "c")).collect()
+        assert len(rows) == 60 and {r.path for r in rows} == wanted
+
+
 def test_empty_collection(spark, tmp_path):
     (tmp_path / "c").mkdir()
     assert collection.scan_collection(spark, str(tmp_path / "c")).count() == 0
