@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -100,7 +101,7 @@ LETTERS = "[a-zà-ÿ]"
 
 def keyword_hits(text: Column, words: Iterable[str]) -> Column:
     """Every whole-word occurrence of one of the words, found in one pass over the text."""
-    pattern = f"(?<!{LETTERS})(?:{'|'.join(words)})(?!{LETTERS})"
+    pattern = f"(?<!{LETTERS})(?:{'|'.join(map(re.escape, words))})(?!{LETTERS})"
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 

@@ -225,3 +225,18 @@ def test_author_by_extension():
     assert document_author(as_file(golden.pdf("x", "Bo")), ".pdf") == "Bo"
     assert document_author(as_file(b"plain text"), ".pdf") == "Unassigned"
     assert document_author(as_file(_package(".docx", "x", "Ann")), ".zip") == "Unassigned"
+
+
+def test_a_failed_write_leaves_nothing(tmp_path):
+    from ledgerfold.sources.stores import open_store, write_file
+
+    def broken():
+        yield b"half"
+        raise OSError("lost")
+
+    store, path = open_store(str(tmp_path / "a" / "file"))
+    with pytest.raises(OSError, match="lost"):
+        write_file(store, path, broken())
+    assert list((tmp_path / "a").iterdir()) == []
+    write_file(store, path, [b"whole"], 1_000_000_000)
+    assert [f.read_bytes() for f in (tmp_path / "a").iterdir()] == [b"whole"]
