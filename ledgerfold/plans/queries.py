@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold import schemas
-from ledgerfold.constants import AXES, UNASSIGNED
+from ledgerfold.constants import UNASSIGNED
 from ledgerfold.functions import answers, content, names, paths
 from ledgerfold.functions.text import iso_seconds
 from ledgerfold.operators import axes, classify, gates, organize, recon, rules, summaries
@@ -794,7 +794,7 @@ def _copied(spark, sf_dir, by: tuple[str, ...]):
     out = f"{root.rsplit('/', 1)[0]}-copies"
     wide = axes.assign_axes(manifest, CUSTODIAN_RULES)
     plan = stage(organize.copy_plans(wide, out).where(F.col("axis").isin(*by)), "plan")
-    log = copies.copy_files(plan, root, out)
+    log = copies.copy_files(plan, out, root)
     return manifest, plan, out, log
 
 

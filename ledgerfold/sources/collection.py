@@ -29,6 +29,7 @@ BLOCK = 1 << 16
 TASK_BYTES = 512 << 20
 TASK_FILES = 10_000
 FOLDERS_PER_ROUND = 64
+FOLDERS_PER_TASK = 256
 BATCH_CHARS = 32 << 20
 
 _LISTED = "inner_path STRING, is_folder BOOLEAN, size_bytes BIGINT, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
@@ -88,14 +89,16 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
                 yield frame
 
     folders = spark.createDataFrame([("",)], "inner_path STRING")
-    files = None
+    files, tasks = None, 1
     while True:
-        level = stage(folders.repartition(width).mapInPandas(below, _LISTED), "listing")
+        level = stage(folders.repartition(tasks).mapInPandas(below, _LISTED), "listing")
         found = level.where("NOT is_folder").drop("is_folder")
         files = found if files is None else files.unionByName(found)
         folders = level.where("is_folder").select("inner_path")
-        if folders.isEmpty():
+        waiting = folders.count()
+        if not waiting:
             return files
+        tasks = max(min(width, waiting), -(-waiting // FOLDERS_PER_TASK))
 
 
 def balanced(files: DataFrame) -> DataFrame:

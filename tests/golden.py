@@ -26,7 +26,7 @@ RULES = [
 DANA, JORGE, VILLA, ALIA, SAM = "Dana Cruz", "Jorge Reyes", "M. Villanueva", "Alia Tan", "Sam Ocampo"
 DEEP = "Old Files/2019 archive/deep/nested"
 
-# path, author, accepted labels (none: nothing to read)
+# --- fixed values: path, author, accepted labels (none: nothing to read) -----
 FILES = [
     ("Invoices/INV-2026-001_AcmeSupply.pdf", JORGE, "invoice"),
     ("Invoices/INV-2026-002_AcmeSupply.pdf", JORGE, "invoice"),
@@ -71,6 +71,7 @@ FILES = [
     (f"{DEEP}/RPT-2031_forecast.pdf", VILLA, "report"),
 ]
 
+# --- fixed values: planted errors by type -------------------------------------
 SEEDED = {
     "exact-duplicate": [
         "Invoices/INV-2026-005_AcmeSupply.pdf",

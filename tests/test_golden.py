@@ -197,7 +197,7 @@ def test_broken_copies_are_noticed(spark, golden_run, tmp_path):
     plan = organize.copy_plans(wide, out)
     from ledgerfold.sources.copies import copy_files
 
-    copy_files(plan, root, out)
+    copy_files(plan, out, root)
     base = f"{out}/by-author/Unassigned"
     when = os.stat(f"{base}/notes.txt").st_mtime
     with open(f"{base}/notes.txt", "r+b") as file:

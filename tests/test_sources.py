@@ -143,17 +143,21 @@ def test_copies_need_a_new_folder(spark, tmp_path):
     (root / "a.txt").write_text("a")
     manifest = collection.scan_collection(spark, str(root))
     plan = organize.copy_plan(manifest.withColumn("bucket", F.lit("b")), str(tmp_path / "out"))
-    log = copies.copy_files(plan, str(root), str(tmp_path / "out"))
+    log = copies.copy_files(plan, str(tmp_path / "out"), str(root))
     assert (tmp_path / "out" / "b" / "a.txt").read_text() == "a"
     assert os.stat(tmp_path / "out" / "b" / "a.txt").st_mtime == int(os.stat(root / "a.txt").st_mtime)
+    (tmp_path / "d").mkdir()
+    with pytest.raises(collection.CollectionError, match="another collection"):
+        copies.copy_files(plan, str(tmp_path / "out3"), str(tmp_path / "d"))
+    assert not (tmp_path / "out3").exists()
     assert copies.copied_bytes(log).first() == (1, 1)
     with pytest.raises(organize.UnsafeOutput, match="leads outside"):
-        copies.copy_files(plan, str(root), str(tmp_path / "other"))
+        copies.copy_files(plan, str(tmp_path / "other"))
     stray = plan.withColumn("dest", F.lit(f"{tmp_path}/out2/../c/a.txt"))
     with pytest.raises(organize.UnsafeOutput, match="leads outside"):
-        copies.copy_files(stray, str(root), str(tmp_path / "out2"))
+        copies.copy_files(stray, str(tmp_path / "out2"))
     with pytest.raises(organize.UnsafeOutput, match="exists"):
-        copies.copy_files(plan, str(root), str(tmp_path / "out"))
+        copies.copy_files(plan, str(tmp_path / "out"), str(root))
     refs = copies.write_crossref(plan, str(tmp_path / "out"))
     assert refs.first().original_folder == ""
     assert (tmp_path / "crossref-out").is_dir()
