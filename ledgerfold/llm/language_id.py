@@ -177,7 +177,8 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     # Identifiers alone decide, so texts of others are neither sorted nor moved.
     marks = known.select("lang", "mark").withColumn("at", F.row_number().over(first)).where(F.col("at") <= per_language)
     last = marks.groupBy(F.col("lang").alias("of")).agg(F.max("mark").alias("last"))
-    sample = known.join(last, (F.col("lang") == F.col("of")) & (F.col("mark") <= F.col("last"))).where("text IS NOT NULL")
+    # One row a language, of which the model that is broadcast holds several centroids each.
+    sample = known.join(F.broadcast(last), (F.col("lang") == F.col("of")) & (F.col("mark") <= F.col("last"))).where("text IS NOT NULL")
     limited = sample.select("lang", "mark", "text").withColumn("at", F.row_number().over(first)).where(
         F.col("at") <= per_language
     )
