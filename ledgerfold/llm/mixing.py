@@ -33,6 +33,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
 SEED = 42
+BROADCAST_ROWS = 500_000  # rows of partitions and sources, about 100 bytes each; more are joined by a shuffle
 
 
 def word_count(text: Column) -> Column:
@@ -109,7 +110,9 @@ def copies_of(rows: DataFrame, targets: DataFrame) -> DataFrame:
     starts = parts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))).select(
         F.col("source").alias("part_source"), F.col("part").alias("part_no"), "first_place", "start"
     )
-    known = starts.join(targets, F.col("part_source").eqNullSafe(F.col("source"))).drop("source")
+    known = stage(starts.join(targets, F.col("part_source").eqNullSafe(F.col("source"))).drop("source"), "mix-parts")
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     joined = rows.join(
         known, (F.col("part") == F.col("part_no")) & F.col("source").eqNullSafe(F.col("part_source"))
     )
