@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerfold.constants import (
     LABELS,
     MIN_CHARS,
-    REASON_CHARS,
     STATUS_MODEL_ERROR,
     STATUS_NO_TEXT,
     STATUS_OK,
@@ -70,20 +69,48 @@ def _in_quotes(text: Column) -> Column:
     )
 
 
+def round_to_cents(number: Column) -> Column:
+    """To two places by the exact binary value; exact ties go to the even cent.
+
+    The printed form of a double may be a tie that its value is not, so the value
+    is compared with the middle between two cents without a rounding step: 200 times
+    its upper and lower half are exact.
+    """
+    size = F.abs(number)
+    cents = F.floor(size * 100).cast("double")
+    split = size * 134217729.0
+    upper = split - (split - size)
+    beyond = (upper * 200 - (cents * 2 + 1)) + (size - upper) * 200
+    up = (beyond > 0) | (beyond == 0) & (cents % 2 == 1)
+    rounded = F.signum(number) * F.when(up, cents + 1).otherwise(cents) / 100
+    # From 2^45 on a double has no cents; infinity and NaN stay what they are.
+    return F.when(size < float(1 << 45), rounded).otherwise(number)
+
+
+# How a number is written.
+NUMBER = r"(?i)^[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
 def parse_answer(
-    raw: Column, error: Column | None = None, labels: Sequence[str] = LABELS
+    raw: Column,
+    error: Column | None = None,
+    labels: Sequence[str] = LABELS,
+    reason_chars: int | None = None,
 ) -> Column:
     """Raw JSON answer -> struct(label, confidence, status, reason).
 
-    `error` names the exception of a call that failed for this document.
+    `error` names the exception of a call that failed for this document; `reason_chars`
+    cuts the reason, which is kept whole without it.
     """
     fields = F.from_json(raw, "map<string,string>")
     is_json = F.coalesce(F.rtrim(raw).endswith("}"), F.lit(False)) & fields.isNotNull()
     label = strip(F.lower(_field(fields, "label", "None")))
     given = strip(F.element_at(fields, F.lit("confidence")))
-    number = F.when(given == "true", F.lit(1.0)).otherwise(given.try_cast("double"))
-    confidence = F.coalesce(F.round(number, 2), F.lit(0.0))
-    reason = F.substring(strip(_field(fields, "reason", "None")), 1, REASON_CHARS)
+    # A number too large for a double comes out of the JSON reader in quotes.
+    given = F.regexp_replace(given, '^"(-?Infinity|NaN)"$', "$1")
+    number = F.when(given == "true", F.lit(1.0)).when(given.rlike(NUMBER), given.try_cast("double"))
+    confidence = F.coalesce(round_to_cents(number), F.lit(0.0))
+    reason = text_window(strip(_field(fields, "reason", "None")), reason_chars)
     error = F.lit(None).cast("string") if error is None else error
     failed = F.concat(F.lit("model call failed: "), F.coalesce(error, F.lit("JSONDecodeError")))
     return (

@@ -13,9 +13,10 @@ from ledgerfold.constants import (
     CLASSIFIER_RULES,
     CONFIDENCE_FLOOR,
     EARLIEST_YEAR,
+    EXACT_DUP_INTRO,
     JUNK_DETAIL,
     MAX_FOLDER_DEPTH,
-    MAX_LISTED,
+    NEAR_DUP_INTRO,
     RULE_DOCS,
     RULE_SEVERITY,
     SEVERITIES,
@@ -150,75 +151,35 @@ def stem_groups(manifest: DataFrame) -> DataFrame:
 
 
 def _group_findings(
-    rows: DataFrame,
-    groups: DataFrame,
-    key: str,
-    rule: str,
-    intro: str,
-    max_listed: int,
-    min_piece_rows: int,
+    rows: DataFrame, groups: DataFrame, key: str, rule: str, intro: str, min_piece_rows: int
 ) -> DataFrame:
+    """One finding for each member: how many others its group has, and the group's key."""
     members = attach_groups(rows, groups, key, "n", "path", min_piece_rows)
-    # Groups too large to list are cut into pieces, so that no window holds
-    # more than about max_listed rows.
-    pieced = members.selectExpr(
-        "*",
-        f"n <= {max_listed} AS _listed",
-        f"IF(n <= {max_listed}, 0, pmod(xxhash64(path), ceil(n / {max_listed}))) AS _piece",
-    )
-    named = pieced.selectExpr(
-        "*",
-        f"""collect_list(IF(_listed, name, NULL)) OVER (PARTITION BY `{key}`, _piece ORDER BY name
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _names""",
-    )
-    # All names alike: the list of other names is empty whatever the size.
-    others = f"""CASE WHEN _listed OR one_name
-        THEN array_join(filter(_names, other -> other <> name), ', ')
-        ELSE concat(n, ' files sharing ', `{key}`) END"""
-    return named.selectExpr(
+    return members.selectExpr(
         "path",
         "name",
         f"'{rule}' AS rule_id",
         f"'{RULE_SEVERITY[rule]}' AS severity",
-        f"concat('{intro}', {others}) AS detail",
+        f"concat('{intro}', n - 1, ' other file(s) of group ', `{key}`) AS detail",
     )
 
 
-def exact_duplicates(
-    manifest: DataFrame, max_listed: int = MAX_LISTED, min_piece_rows: int = MIN_PIECE_ROWS
-) -> DataFrame:
+def exact_duplicates(manifest: DataFrame, min_piece_rows: int = MIN_PIECE_ROWS) -> DataFrame:
     """EXACT_DUP: another non-empty file has the same bytes.
 
-    The detail names the other files of the group. A group of more than
-    `max_listed` files is named by its hash and size instead, because naming
-    all pairs grows with its square; duplicate_members() lists it in full.
+    Naming the others in each finding would grow with the square of a group, so
+    duplicate_members() lists them, whatever the size of the group.
     """
     rows = manifest.where("size_bytes > 0").select("path", "name", "sha256")
-    return _group_findings(
-        rows,
-        dup_groups(manifest),
-        "sha256",
-        "EXACT_DUP",
-        "identical bytes to: ",
-        max_listed,
-        min_piece_rows,
-    )
+    groups = dup_groups(manifest)
+    return _group_findings(rows, groups, "sha256", "EXACT_DUP", EXACT_DUP_INTRO, min_piece_rows)
 
 
-def near_duplicate_names(
-    manifest: DataFrame, max_listed: int = MAX_LISTED, min_piece_rows: int = MIN_PIECE_ROWS
-) -> DataFrame:
+def near_duplicate_names(manifest: DataFrame, min_piece_rows: int = MIN_PIECE_ROWS) -> DataFrame:
     """NEAR_DUP_NAME: files share a normalised stem but not all have the same bytes."""
     rows = manifest.select("path", "name", normalized_stem(F.col("name")).alias("stem"))
-    return _group_findings(
-        rows,
-        stem_groups(manifest),
-        "stem",
-        "NEAR_DUP_NAME",
-        "same base name, different content vs: ",
-        max_listed,
-        min_piece_rows,
-    )
+    groups = stem_groups(manifest)
+    return _group_findings(rows, groups, "stem", "NEAR_DUP_NAME", NEAR_DUP_INTRO, min_piece_rows)
 
 
 def duplicate_members(manifest: DataFrame, min_piece_rows: int = MIN_PIECE_ROWS) -> DataFrame:
@@ -283,15 +244,14 @@ def all_findings(
     as_of: dt.date,
     classifications: DataFrame | None = None,
     floor: float = CONFIDENCE_FLOOR,
-    max_listed: int = MAX_LISTED,
 ) -> DataFrame:
     """All findings; the classifier's rules only where it has run.
 
     The manifest is read several times here, so pass a stored table.
     """
     found = (
-        exact_duplicates(manifest, max_listed)
-        .unionByName(near_duplicate_names(manifest, max_listed))
+        exact_duplicates(manifest)
+        .unionByName(near_duplicate_names(manifest))
         .unionByName(file_findings(manifest, as_of))
     )
     if classifications is None:

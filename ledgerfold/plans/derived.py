@@ -21,7 +21,7 @@ from ledgerfold.constants import UNASSIGNED
 from ledgerfold.functions.content import author_or_unassigned, content_hash, true_type
 from ledgerfold.functions.paths import manifest_path, suffix
 from ledgerfold.operators.classify import classify_keyword
-from ledgerfold.sources.staging import new_store_location, read_spread, stage
+from ledgerfold.sources.staging import new_store_location, stage
 from ledgerfold.sources.stores import canonical, open_store, write_file
 
 AS_OF = dt.date(2026, 7, 21)
@@ -77,7 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest columns plus doc_id, lang, source and the text in `body`; one scan, no shuffle."""
     return (
-        read_spread(spark, f"{sf_dir}/documents.parquet", "doc_id")
+        spark.read.parquet(f"{sf_dir}/documents.parquet")
         .selectExpr("doc_id", "lang", "source", *[f"{sql} AS {c}" for c, sql in _DERIVED.items()])
         .select(
             "doc_id",

@@ -187,7 +187,8 @@ _RAW_ANSWER = """CASE doc_id % 9
     WHEN 1 THEN concat('{"label": " ', upper(lang), ' ", "confidence": "0.5", "reason": "  shouting  "}')
     WHEN 2 THEN concat('{"label": "', source, '", "confidence": 0.9}')
     WHEN 3 THEN concat('{"label": "', lang)
-    WHEN 4 THEN concat('{"label": "', lang, '", "confidence": "high"}')
+    WHEN 4 THEN concat('{"label": "', lang, '", "confidence": "', CASE doc_id % 7 WHEN 0 THEN '0.745' WHEN 1 THEN '0.125'
+        WHEN 2 THEN '0.845' WHEN 3 THEN '0.285' WHEN 4 THEN '0.615' WHEN 5 THEN '0.9d' ELSE 'high' END, '"}')
     WHEN 5 THEN concat('{"confidence": 0.4, "reason": "', source, '"}')
     WHEN 6 THEN concat('["', lang, '"]')
     WHEN 7 THEN concat('{"label": "', lang, "'s", '", "confidence": 1}')

@@ -7,27 +7,16 @@ of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from urllib.parse import unquote
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerfold.sources.stores import open_store
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    folder = named or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerfold-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The session's checkpoint folder; where there is none, a folder in its warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
 
 
 def new_location(spark: SparkSession, label: str) -> str:
@@ -51,20 +40,6 @@ def read_staged(spark: SparkSession, location: str, like: DataFrame) -> DataFram
     return spark.read.schema(like.schema).parquet(location)
 
 
-# A table below this size is dealt out to all cores; a larger one has splits enough.
-SPREAD_BELOW = 1 << 30
-
-
-def read_spread(spark: SparkSession, location: str, key: str) -> DataFrame:
-    """A Parquet table; a small one, which one task might read whole, is spread by a key."""
-    table = spark.read.parquet(location)
-    store, path = open_store(location)
-    info = store.get_file_info(path)
-    if info.type != fs.FileType.File or info.size >= SPREAD_BELOW:
-        return table
-    return table.repartition(spark.sparkContext.defaultParallelism, key)
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table once and return a reader of it."""
     location = new_location(df.sparkSession, label)

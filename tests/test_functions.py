@@ -217,7 +217,7 @@ ANSWERS = [
     ('{"label": "rep', ("unclassified", 0.0, "model_error", "model call failed: JSONDecodeError")),
     ('{"label": "report"} etc', ("unclassified", 0.0, "model_error", "model call failed: JSONDecodeError")),
     ("", ("unclassified", 0.0, "model_error", "model call failed: JSONDecodeError")),
-    ('{"label": "other", "reason": "%s"}' % ("x" * 200), ("other", 0.0, "ok", "x" * 120)),
+    ('{"label": "other", "reason": "%s"}' % ("x" * 200), ("other", 0.0, "ok", "x" * 200)),
 ]
 
 
@@ -225,3 +225,13 @@ ANSWERS = [
 def test_parse_answer(spark, raw, wanted):
     got = apply(spark, [raw], lambda r: answers.parse_answer(r))[0]
     assert tuple(got) == wanted
+
+
+def test_confidences_round_like_doubles(spark):
+    values = [0.745, 0.125, 0.845, 0.285, 0.615, 0.135, 0.375, 0.995, 1.005, -0.125, 0.0, 1.0, 2.675, 1e300]
+    values += [n / 1000 for n in range(0, 1000, 5)]
+    raw = [('{"label": "other", "confidence": %r}' % v, round(v, 2)) for v in values]
+    raw += [('{"label": "other", "confidence": %s}' % v, w) for v, w in (("1e400", float("inf")), ('"0.9d"', 0.0), ('"0x1p3"', 0.0), ('".5"', 0.5))]
+    frame = spark.createDataFrame(raw, "raw STRING, want DOUBLE")
+    got = frame.select("raw", "want", answers.parse_answer(F.col("raw"))["confidence"].alias("got")).collect()
+    assert [r.raw for r in got if r.got != r.want] == []

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerfold.sources.stores import open_store
 from ledgerfold import schemas
 from ledgerfold.operators import organize
 from ledgerfold.plans.derived import _package
@@ -164,13 +165,7 @@ def test_copies_need_a_new_folder(spark, tmp_path):
 
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = staging.shared_folder(spark)
-    assert folder == (named.rstrip("/") if named else spark.sparkContext.getCheckpointDir())
-
     class Context:
-        master = "yarn"
-
         def getCheckpointDir(self):
             return None
 
@@ -178,10 +173,15 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
         sparkContext = Context()
 
         class conf:
-            get = staticmethod(lambda key, default=None: default)
+            named = {"spark.checkpoint.dir": "hdfs:///shared/", "spark.sql.warehouse.dir": "hdfs:///warehouse"}
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.named.get(key, default)
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.shared_folder(Session())
+    assert staging.shared_folder(Session()) == "hdfs:///shared"
+    del Session.conf.named["spark.checkpoint.dir"]
+    assert staging.shared_folder(Session()) == "hdfs:///warehouse/checkpoints"
 
 
 # --- documents ---------------------------------------------------------------
@@ -220,7 +220,7 @@ def test_sheet_cells():
             new.writestr(name, sheet if "sheet1" in name else old.read(name))
         new.writestr("xl/sharedStrings.xml", shared)
     out.seek(0)
-    assert document_text(out, "zip", ".xlsx") == "month |  | 42000\n |  | \n | 1.5 | True"
+    assert document_text(out, "zip", ".xlsx") == "month | 42000\n1.5 | True"
 
 
 def test_author_by_extension():
@@ -244,3 +244,11 @@ def test_a_failed_write_leaves_nothing(tmp_path):
     assert list((tmp_path / "a").iterdir()) == []
     write_file(store, path, [b"whole"], 1_000_000_000)
     assert [f.read_bytes() for f in (tmp_path / "a").iterdir()] == [b"whole"]
+
+
+def test_store_addresses():
+    assert open_store("/data/a:b")[1] == "/data/a:b" and open_store("file:///data/x")[1] == "/data/x"
+    for unknown in ("dbfs:/x", "wasbs://c@a/x", "http://h/x"):
+        with pytest.raises(ValueError, match="no file system"):
+            open_store(unknown)
+    assert open_store("s3a://bucket/key?region=eu-west-1")[0].type_name == "s3"
