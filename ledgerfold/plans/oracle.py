@@ -346,7 +346,7 @@ def all_sql() -> dict[str, str]:
             CASE WHEN failure IS NULL THEN 'ok' ELSE 'model_error' END AS status,
             coalesce(failure, CASE k WHEN 0 THEN 'reads as ' || lang WHEN 1 THEN 'shouting'
               WHEN 8 THEN repeat(source, 60) ELSE '' END) AS reason FROM b""",
-        "severity_order": _dm(f", f AS ({_FILE_FINDINGS}) SELECT path, rule_id, CAST({_SEVERITY_ORD} AS BIGINT) AS ord FROM f"),
+        "severity_order": _found(f"SELECT path, rule_id, CAST({_SEVERITY_ORD} AS BIGINT) AS ord FROM found"),
         # the rule catalogue
         "rule_exact_dup": _dm(EXACT),
         "rule_near_dup_name": _dm(NEAR),
@@ -366,8 +366,8 @@ def all_sql() -> dict[str, str]:
         "custodian_axis": _dm("SELECT path, custodian AS bucket FROM mc"),
         "crossref_to_manifest": _xref("""SELECT axis, original_path, new_path, CASE WHEN original_path IN
             (SELECT path FROM dm JOIN labels USING (doc_id)) THEN 'known' ELSE 'not in manifest' END AS verdict FROM xref"""),
-        "rule_to_doc": _with((DM, _DOCS, _MEANINGS, f"f AS ({_FILE_FINDINGS})"),
-            "SELECT f.path, rule_id, f.severity, description, meaning FROM f JOIN docs USING (rule_id) JOIN meanings m2 ON m2.severity = f.severity"),
+        "rule_to_doc": _with((*ALL, _DOCS, _MEANINGS),
+            "SELECT f.path, rule_id, f.severity, description, meaning FROM found f JOIN docs USING (rule_id) JOIN meanings m2 ON m2.severity = f.severity"),
         "first_match_join": _dm("SELECT path, CAST(rule_order AS BIGINT) AS rule_order, custodian FROM mc"),
         "seeded_semi_anti": _everything("""SELECT type, path, rule_id, CASE WHEN EXISTS
             (SELECT 1 FROM found f WHERE f.path = s.path AND f.rule_id = s.rule_id) THEN 'caught' ELSE 'missed' END AS verdict FROM seeded s"""),
@@ -377,8 +377,7 @@ def all_sql() -> dict[str, str]:
         # aggregations
         "dup_groups": _dm("SELECT sha256, count(*) AS n, CAST(count(DISTINCT name) = 1 AS VARCHAR) AS one_name FROM m WHERE size_bytes > 0 GROUP BY 1 HAVING count(*) > 1"),
         "stem_groups": _dm("SELECT stem, count(*) AS n, CAST(count(DISTINCT name) = 1 AS VARCHAR) AS one_name FROM m GROUP BY 1 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1"),
-        "findings_by_severity": _dm(f""", f AS ({_rule('JUNK_FILE', 'm', *_ROW_RULES['JUNK_FILE'])} UNION ALL {_rule('NAMING', 'm', *_ROW_RULES['NAMING'])})
-          SELECT s.severity, CAST(ord AS BIGINT) AS ord, count(f.path) AS findings FROM {_SEVERITIES} LEFT JOIN f ON f.severity = s.severity GROUP BY ALL"""),
+        "findings_by_severity": _found(f"""SELECT s.severity, CAST(ord AS BIGINT) AS ord, count(f.path) AS findings FROM {_SEVERITIES} LEFT JOIN found f ON f.severity = s.severity GROUP BY ALL"""),
         "findings_by_rule": _found("SELECT rule_id, count(*) AS findings FROM found GROUP BY 1"),
         "label_counts": _cls("SELECT label, count(*) AS files FROM cls GROUP BY 1"),
         "flagged_clean": _found("""SELECT (SELECT count(*) FROM dm) AS total, (SELECT count(DISTINCT path) FROM found) AS flagged,
@@ -424,7 +423,7 @@ def all_sql() -> dict[str, str]:
         "summary_figures": _everything(_FIGURES),
         "report_figures": _everything(_FIGURES),
         "full_run_figures": _everything(_FIGURES),
-        "axis_summary": _xref(_SUMMARY + " WHERE axis <> 'class' GROUP BY axis"),
+        "axis_summary": _xref(_SUMMARY + " GROUP BY axis"),
         # gates
         "absence_check": _everything("""SELECT type, path, rule_id, CASE WHEN rule_id = '' THEN 'no rule owns this type' ELSE 'missed' END AS problem
           FROM seeded s WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.path = s.path AND f.rule_id = s.rule_id)"""),
@@ -472,12 +471,12 @@ def all_sql() -> dict[str, str]:
         "manifest_read": _dm(f"""SELECT {_MANIFEST.replace('path, name,', "path, name || ' \"x\", ' || lang || chr(10) || 'y ' AS name,").replace('author,', "CASE WHEN author = 'Unassigned' THEN '' ELSE author END AS author,")} FROM dm"""),
         "manifest_write": _dm(f"SELECT {_MANIFEST} FROM dm"),
         "classifications_write": _cls(f"SELECT {CLS_COLUMNS} FROM cls"),
-        "exceptions_write": _dm(_FILE_FINDINGS),
+        "exceptions_write": _found("SELECT path, name, rule_id, severity, detail FROM found"),
         "rules_table_read": _dm("SELECT CAST(rule_order AS BIGINT) AS rule_order, custodian, count(*) AS files FROM mc GROUP BY ALL"),
         "answer_key_read": _everything("""SELECT path, 'error' AS kind, type AS value FROM seeded
           UNION ALL SELECT path, 'author', author FROM dm
           UNION ALL SELECT path, 'label', coalesce(array_to_string(accepted, ', '), 'none') FROM truth"""),
-        "crossref_write": _xref("SELECT * EXCLUDE (axis) FROM xref WHERE axis = 'author'"),
+        "crossref_write": _xref("SELECT * FROM xref"),
         "copy_sink": _xref("SELECT replace(new_path, '/organized/', '') AS copy, original_path AS path, sha256, size_bytes FROM xref WHERE axis = 'custodian'"),
         "copy_verify": _dm("SELECT path, 'ok' AS verdict FROM dm"),
         "crossref_verify": _xref("SELECT axis, original_path, 'ok' AS verdict FROM xref WHERE axis <> 'class'"),

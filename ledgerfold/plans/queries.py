@@ -203,7 +203,7 @@ def parse_model_answer(spark, sf_dir):
 
 @query
 def severity_order(spark, sf_dir):
-    found = rules.file_findings(derived_files(spark, sf_dir), AS_OF)
+    found = _findings(Derived(spark, sf_dir))
     order = rules.severity_order(F.col("severity")).cast("bigint")
     return found.select("path", "rule_id", order.alias("ord"))
 
@@ -319,7 +319,7 @@ def crossref_to_manifest(spark, sf_dir):
 
 @query
 def rule_to_doc(spark, sf_dir):
-    return rules.rule_to_doc(rules.file_findings(derived_files(spark, sf_dir), AS_OF)).select(
+    return rules.rule_to_doc(_findings(Derived(spark, sf_dir))).select(
         "path", "rule_id", "severity", "description", "meaning"
     )
 
@@ -363,8 +363,7 @@ def stem_groups(spark, sf_dir):
 
 @query
 def findings_by_severity(spark, sf_dir):
-    found = rules.file_findings(derived_files(spark, sf_dir), AS_OF, ("JUNK_FILE", "NAMING"))
-    return summaries.findings_by_severity(found)
+    return summaries.findings_by_severity(_findings(Derived(spark, sf_dir)))
 
 
 @query
@@ -575,7 +574,8 @@ def report_figures(spark, sf_dir):
 
 @query
 def axis_summary(spark, sf_dir):
-    wide = axes.assign_axes(derived_files(spark, sf_dir), CUSTODIAN_RULES)
+    d = Derived(spark, sf_dir)
+    wide = axes.assign_axes(d.manifest, CUSTODIAN_RULES, d.classifications)
     return summaries.bucket_summary(organize.crossref(organize.copy_plans(wide, OUT)))
 
 
@@ -733,7 +733,8 @@ def classifications_write(spark, sf_dir):
 
 @query
 def exceptions_write(spark, sf_dir):
-    found = rules.file_findings(derived_files(spark, sf_dir), AS_OF)
+    d = Derived(spark, sf_dir)
+    found = rules.all_findings(d.manifest, AS_OF, d.classifications)
     return tables.write_exceptions(found, new_location(spark, "exceptions"))
 
 
@@ -782,9 +783,9 @@ def answer_key_read(spark, sf_dir):
 
 @query
 def crossref_write(spark, sf_dir):
-    d = Derived(spark, sf_dir, labels=False)
-    located = d.manifest.withColumn("bucket", content.author_or_unassigned(F.col("author")))
-    plan = organize.copy_plan(located, f"{OUT}/by-author")
+    d = Derived(spark, sf_dir)
+    wide = axes.assign_axes(d.manifest, CUSTODIAN_RULES, d.classifications)
+    plan = organize.copy_plans(wide, OUT)
     return _text_times(copies.write_crossref(plan, new_location(spark, "tree")))
 
 
