@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerfold.llm.queries import CONTROL_TEXT, QUERY_STEP, URL_RULES
+from ledgerfold.llm.queries import QUERY_STEP, URL_RULES
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -91,6 +91,3 @@ FROM texts WINDOW same AS (PARTITION BY text_sha256)
 
 def llm_sql() -> dict[str, str]:
     return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT}
-
-
-__all__ = ["CONTROL_TEXT", "llm_sql"]
