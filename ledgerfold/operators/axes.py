@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ledgerfold.constants import AXES, STATUS_OK, UNASSIGNED
 from ledgerfold.functions.content import author_or_unassigned
-from ledgerfold.functions.paths import custodian_match, first_match, inner_path
+from ledgerfold.functions.paths import custodian_match
+from ledgerfold.operators.rule_tables import first_match_join
 
-Rules = list[tuple[str, str]]
+# A few rules written in code, which become part of the expression, or a table of any size, which is joined.
+Rules = list[tuple[str, str]] | DataFrame
 
 
 def class_bucket() -> Column:
@@ -26,6 +28,8 @@ def author_axis(manifest: DataFrame) -> DataFrame:
 
 
 def custodian_axis(manifest: DataFrame, rules: Rules) -> DataFrame:
+    if isinstance(rules, DataFrame):
+        return first_match_join(manifest.select("path"), rules).select("path", F.col("custodian").alias("bucket"))
     return manifest.select("path", custodian_match(F.col("path"), rules).alias("bucket"))
 
 
@@ -39,30 +43,13 @@ def axis_lookup(manifest: DataFrame, axis: DataFrame) -> DataFrame:
     )
 
 
-def first_match_join(manifest: DataFrame, rules: Rules) -> DataFrame:
-    """Which rule (0-based order) claims a file, and for whom; -1 where none does.
-
-    Rules are configuration of a checked size, so they become part of the
-    expression: no join, no shuffle, and later rules are not even tried.
-    """
-    numbered = [(pattern, order) for order, (pattern, _) in enumerate(rules)]
-    order = F.coalesce(first_match(inner_path(F.col("path")), numbered), F.lit(-1))
-    custodians = F.array(*[F.lit(custodian) for _, custodian in rules], F.lit(UNASSIGNED))
-    return manifest.withColumn("rule_order", order.cast("bigint")).withColumn(
-        "custodian",
-        F.when(F.col("rule_order") < 0, UNASSIGNED).otherwise(
-            F.element_at(custodians, F.col("rule_order").cast("int") + 1)
-        ),
-    )
-
-
 def assign_axes(
     manifest: DataFrame, rules: Rules, classifications: DataFrame | None = None
 ) -> DataFrame:
     """Manifest rows with one bucket column per axis.
 
-    Author and custodian are projections; only the class needs a join, and it
-    is left out when nothing was classified.
+    The author is a projection, and so is the custodian by rules in code; the class and a rule table need a
+    join. The class is left out when nothing was classified.
     """
     wide = manifest
     if classifications is not None:
@@ -70,12 +57,10 @@ def assign_axes(
         wide = wide.join(labels, "path", "left").withColumn(
             "class_bucket", F.coalesce("class_bucket", F.lit(UNASSIGNED))
         )
-    return wide.withColumns(
-        {
-            "author_bucket": author_or_unassigned(F.col("author")),
-            "custodian_bucket": custodian_match(F.col("path"), rules),
-        }
-    )
+    wide = wide.withColumn("author_bucket", author_or_unassigned(F.col("author")))
+    if isinstance(rules, DataFrame):
+        return first_match_join(wide, rules).drop("rule_order").withColumnRenamed("custodian", "custodian_bucket")
+    return wide.withColumn("custodian_bucket", custodian_match(F.col("path"), rules))
 
 
 def axes_of(wide: DataFrame) -> list[str]:

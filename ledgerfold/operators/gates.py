@@ -39,11 +39,9 @@ def seeded_semi_anti(seeded: DataFrame, findings: DataFrame) -> DataFrame:
     """Planted (type, path) pairs with their rule, each `caught` or `missed`."""
     pairs = seeded.select("type", "path", rule_for_error(F.col("type")).alias("rule_id"))
     keys = ["path", "rule_id"]
-    caught = pairs.join(findings.select(*keys), keys, "left_semi")
-    missed = pairs.join(findings.select(*keys), keys, "left_anti")
-    return caught.withColumn("verdict", F.lit("caught")).unionByName(
-        missed.withColumn("verdict", F.lit("missed"))
-    )
+    found = findings.select(*keys).distinct().withColumn("_found", F.lit(True))
+    verdict = F.when(F.col("_found"), "caught").otherwise("missed")
+    return pairs.join(found, keys, "left").select(*keys, "type", verdict.alias("verdict"))
 
 
 def absence_check(seeded: DataFrame, findings: DataFrame) -> DataFrame:

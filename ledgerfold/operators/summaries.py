@@ -149,7 +149,7 @@ def top_n_messages(findings: DataFrame, n: int = 5) -> DataFrame:
 # --- figures -----------------------------------------------------------------
 
 
-def _as_figures(one_row: DataFrame) -> DataFrame:
+def as_figures(one_row: DataFrame) -> DataFrame:
     """A row of named numbers -> (figure, value) rows."""
     names = one_row.columns
     pairs = F.array(
@@ -161,6 +161,46 @@ def _as_figures(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(pairs))
 
 
+def file_totals(manifest: DataFrame, findings: DataFrame) -> DataFrame:
+    """One row of totals over files and findings; each table is read and shuffled once, by path."""
+    severity, rule = F.col("severity"), F.col("rule_id")
+    counted = {
+        "total_exceptions": F.count("*"),
+        **{f"sev_{s}": F.count_if(severity == s) for s in SEVERITIES},
+        "naming_findings": F.count_if(rule == "NAMING"),
+        "unclassified_findings": F.count_if(rule == "UNCLASSIFIED"),
+    }
+    found = findings.groupBy("path").agg(*[value.alias(name) for name, value in counted.items()])
+    files = manifest.groupBy("path").agg(F.count("*").alias("_files"))
+    flagged = F.col("total_exceptions").isNotNull()
+    return files.join(found, "path", "full_outer").agg(
+        F.sum("_files").alias("total_files"),
+        F.count_if(flagged).alias("files_flagged"),
+        F.sum(F.when(~flagged, F.col("_files"))).alias("files_clean"),
+        *[F.sum(name).alias(name) for name in counted],
+    )
+
+
+def label_totals(classifications: DataFrame) -> DataFrame:
+    unclassified = F.col("label") == UNCLASSIFIED
+    return classifications.agg(
+        F.count_if(~unclassified).alias("class_labeled"),
+        F.count_if(unclassified).alias("class_unclassified"),
+    )
+
+
+def date_totals(dates: DataFrame) -> DataFrame:
+    return dates.agg(F.sum("compared").alias("datefid_total"), F.sum("matching").alias("datefid_ok"))
+
+
+def union_figures(parts: list[DataFrame]) -> DataFrame:
+    """Rows of named numbers as one table of figures."""
+    figures = as_figures(parts[0])
+    for part in parts[1:]:
+        figures = figures.unionByName(as_figures(part))
+    return figures
+
+
 def summary_figures(
     manifest: DataFrame,
     findings: DataFrame,
@@ -172,22 +212,6 @@ def summary_figures(
 
     `dates` is the result of date_fidelity(); its two figures are left out without it.
     """
-    files = flagged_clean(manifest, findings).select(
-        F.col("total").alias("total_files"),
-        F.col("flagged").alias("files_flagged"),
-        F.col("clean").alias("files_clean"),
-    )
-    found = findings.agg(
-        F.count("*").alias("total_exceptions"),
-        *[F.count_if(F.col("severity") == s).alias(f"sev_{s}") for s in SEVERITIES],
-        F.count_if(F.col("rule_id") == "NAMING").alias("naming_findings"),
-    )
-    unclassified = F.col("label") == UNCLASSIFIED
-    labels = classifications.agg(
-        F.count_if(~unclassified).alias("class_labeled"),
-        F.count_if(unclassified).alias("class_unclassified"),
-    )
-    counts = bucket_counts(crossrefs)
     parts = []
     for axis in AXES:
         mine = F.col("axis") == axis
@@ -197,12 +221,9 @@ def summary_figures(
             F.sum(F.when(none, F.col("files"))).alias(f"unassigned_{axis}"),
             F.count_if(mine).alias(f"buckets_{axis}"),
         ]
-    figures = _as_figures(files)
-    for part in (found, labels, counts.agg(*parts)):
-        figures = figures.unionByName(_as_figures(part))
-    if dates is not None:
-        compared = dates.agg(
-            F.sum("compared").alias("datefid_total"), F.sum("matching").alias("datefid_ok")
-        )
-        figures = figures.unionByName(_as_figures(compared))
-    return figures
+    tables = [
+        file_totals(manifest, findings).drop("unclassified_findings"),
+        label_totals(classifications),
+        bucket_counts(crossrefs).agg(*parts),
+    ]
+    return union_figures(tables if dates is None else [*tables, date_totals(dates)])

@@ -27,6 +27,7 @@ from ledgerfold.sources.stores import canonical, open_store, write_file
 AS_OF = dt.date(2026, 7, 21)
 COLLECTION = "corpus"
 ROOT = "/collections/corpus"
+ADDED = 1_000_000_000_000  # identifiers of files that are no documents start here
 OUT = "/organized"
 
 # Words that speak for a language; the labels of the derived collection.
@@ -51,7 +52,7 @@ CUSTODIAN_RULES = [
 ]
 
 _DERIVED = {
-    "body": "CASE WHEN doc_id % 97 = 0 THEN '' ELSE coalesce(text, '') END",
+    "body": "coalesce(text, '')",
     "folder": """CASE doc_id % 8
         WHEN 0 THEN 'Invoices/' WHEN 1 THEN 'Contracts/' WHEN 2 THEN 'Correspondence/'
         WHEN 3 THEN 'Reports/' WHEN 4 THEN 'Site Photos/'
@@ -74,10 +75,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_empty_files(docs: DataFrame) -> DataFrame:
+    """The documents, and an empty one beside every 97th of them."""
+    names = {"doc_id": F.col("doc_id") + ADDED, "text": F.lit("")}
+    added = docs.where("doc_id % 97 = 0").select("lang", "source", *[v.alias(c) for c, v in names.items()])
+    return docs.select("doc_id", "lang", "source", "text").unionByName(added)
+
+
 def derived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest columns plus doc_id, lang, source and the text in `body`; one scan, no shuffle."""
+    """Manifest columns plus doc_id, lang, source and the text in `body`; no shuffle."""
     return (
-        spark.read.parquet(f"{sf_dir}/documents.parquet")
+        with_empty_files(table(spark, sf_dir, "documents"))
         .selectExpr("doc_id", "lang", "source", *[f"{sql} AS {c}" for c, sql in _DERIVED.items()])
         .select(
             "doc_id",
@@ -131,7 +139,7 @@ class Derived:
         doc = F.col("doc_id")
         naming = (doc % 17).isin(0, 1, 2, 4, 5, 6, 10)
         planted = {
-            "zero-byte": doc % 97 == 0,
+            "zero-byte": doc >= ADDED,
             "date-anomaly": (doc % 101 == 0) | (doc % 103 == 0),
             "junk-file": (doc % 17).isin(7, 8),
             "archive": doc % 17 == 9,
@@ -150,7 +158,7 @@ class Derived:
         """Accepted labels by path; NULL where nothing can be read."""
         doc, lang = F.col("doc_id"), F.col("lang")
         accepted = F.when(
-            doc % 97 != 0, F.when(doc % 13 == 0, F.array(lang, F.lit("other"))).otherwise(F.array(lang))
+            doc < ADDED, F.when(doc % 13 == 0, F.array(lang, F.lit("other"))).otherwise(F.array(lang))
         )
         return self.rows.select("path", accepted.alias("accepted"))
 

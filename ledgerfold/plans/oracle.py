@@ -27,14 +27,15 @@ def _values(rows) -> str:
 
 # --- the derived collection --------------------------------------------------
 
-_BODY = "CASE WHEN doc_id % 97 = 0 THEN '' ELSE coalesce(text, '') END"
+_ADDED = "1000000000000"
 _TYPE = """CASE WHEN {0} = '' THEN 'empty' WHEN starts_with({0}, '%PDF') THEN 'pdf'
   WHEN starts_with({0}, 'PK' || chr(3) || chr(4)) THEN 'zip'
   WHEN starts_with({0}, 'GIF87a') OR starts_with({0}, 'GIF89a') THEN 'gif' ELSE 'text' END"""
 
 DM = f"""
-base AS (SELECT doc_id, lang, source, {_BODY} AS body,
-    CAST(doc_id AS VARCHAR) AS n, CAST(doc_id - 1 AS VARCHAR) AS p FROM documents),
+files AS (SELECT doc_id, lang, source, coalesce(text, '') AS body FROM documents
+  UNION ALL SELECT doc_id + {_ADDED}, lang, source, '' FROM documents WHERE doc_id % 97 = 0),
+base AS (SELECT *, CAST(doc_id AS VARCHAR) AS n, CAST(doc_id - 1 AS VARCHAR) AS p FROM files),
 named AS (SELECT *,
     CASE doc_id % 8 WHEN 0 THEN 'Invoices/' WHEN 1 THEN 'Contracts/' WHEN 2 THEN 'Correspondence/'
       WHEN 3 THEN 'Reports/' WHEN 4 THEN 'Site Photos/' WHEN 5 THEN 'Old Files/2019 archive/deep/nested/'
@@ -189,9 +190,9 @@ xref AS (SELECT axis, path AS original_path, folder AS original_folder, bucket,
     '/organized/by-' || axis || '/' || bucket || '/' || inner_path AS new_path, sha256, size_bytes,
     '' AS created, strftime(modified, '%Y-%m-%dT00:00:00') AS modified FROM axis_rows)"""
 
-SEEDED = """
+SEEDED = f"""
 seeded AS (
-  SELECT 'zero-byte' AS type, path, 'ZERO_BYTE' AS rule_id FROM dm WHERE doc_id % 97 = 0
+  SELECT 'zero-byte' AS type, path, 'ZERO_BYTE' AS rule_id FROM dm WHERE doc_id >= {_ADDED}
   UNION ALL SELECT 'date-anomaly', path, 'DATE_ANOMALY' FROM dm WHERE doc_id % 101 = 0 OR doc_id % 103 = 0
   UNION ALL SELECT 'junk-file', path, 'JUNK_FILE' FROM dm WHERE doc_id % 17 IN (7, 8)
   UNION ALL SELECT 'archive', path, 'ARCHIVE' FROM dm WHERE doc_id % 17 = 9
@@ -201,8 +202,8 @@ seeded AS (
   UNION ALL SELECT 'lost-page', path, '' FROM dm WHERE lang = 'es' AND doc_id % 17 = 7
   UNION ALL SELECT 'naming-violation', path, 'NAMING' FROM dm WHERE doc_id % 17 IN (0, 1, 2, 4, 5, 6, 10))"""
 
-TRUTH = """
-truth AS (SELECT path, CASE WHEN doc_id % 97 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN [lang, 'other']
+TRUTH = f"""
+truth AS (SELECT path, CASE WHEN doc_id >= {_ADDED} THEN NULL WHEN doc_id % 13 = 0 THEN [lang, 'other']
     ELSE [lang] END AS accepted FROM dm)"""
 
 ALL = (DM, CLS, FOUND)
@@ -256,7 +257,8 @@ _FIGURES = """SELECT 'total_files' AS figure, (SELECT count(*) FROM dm) AS value
   UNION ALL SELECT 'class_unclassified', (SELECT count(*) FROM cls WHERE label = 'unclassified')
   UNION ALL SELECT 'files_' || axis, count(*) FROM xref GROUP BY axis
   UNION ALL SELECT 'unassigned_' || axis, count(*) FILTER (bucket = 'Unassigned') FROM xref GROUP BY axis
-  UNION ALL SELECT 'buckets_' || axis, count(DISTINCT bucket) FROM xref GROUP BY axis"""
+  UNION ALL SELECT 'buckets_' || axis, count(DISTINCT bucket) FROM xref GROUP BY axis
+  UNION ALL SELECT f, (SELECT count(*) FROM xref) FROM (VALUES ('datefid_total'), ('datefid_ok')) v(f)"""
 
 _SUMMARY = """, counts AS (SELECT axis, bucket, count(*) AS files FROM xref GROUP BY ALL)
 SELECT axis, CAST(sum(files) AS BIGINT) AS files, count(*) AS buckets,
@@ -273,17 +275,17 @@ def _clashes(dest: str) -> str:
 
 def _recon(classified: str) -> str:
     return f"""SELECT *, CASE WHEN left_value = right_value THEN 'match' ELSE 'MISMATCH' END AS ok FROM (
-  SELECT 'Files in manifest vs files on the classification list' AS "check",
-    (SELECT count(*) FROM dm) AS left_value, (SELECT count(*) FROM {classified}) AS right_value
-  UNION ALL SELECT 'Flagged files + clean files vs total received',
+  SELECT 'classified files = files' AS "check",
+    (SELECT count(*) FROM {classified}) AS left_value, (SELECT count(*) FROM dm) AS right_value
+  UNION ALL SELECT 'flagged + clean files = files',
     (SELECT count(*) FROM (SELECT path FROM found UNION SELECT path FROM dm)), (SELECT count(*) FROM dm)
-  UNION ALL SELECT 'Findings by severity vs total findings',
+  UNION ALL SELECT 'findings of known severity = findings',
     (SELECT count(*) FROM found WHERE severity IN ('high', 'medium', 'low')), (SELECT count(*) FROM found)
-  UNION ALL SELECT 'Unclassified label count vs UNCLASSIFIED findings',
+  UNION ALL SELECT 'unclassified files = UNCLASSIFIED findings',
     (SELECT count(*) FROM {classified} WHERE label = 'unclassified'),
     (SELECT count(*) FROM found WHERE rule_id = 'UNCLASSIFIED')
-  UNION ALL SELECT 'Copies in by-' || axis || ' cross-reference vs files received',
-    count(*), (SELECT count(*) FROM dm) FROM xref GROUP BY axis)"""
+  UNION ALL SELECT 'copies by ' || axis || ' = files', count(*), (SELECT count(*) FROM dm) FROM xref GROUP BY axis
+  UNION ALL SELECT 'times kept = times compared', (SELECT count(*) FROM xref), (SELECT count(*) FROM xref))"""
 
 
 _RAW_LABEL = """CASE doc_id % 9 WHEN 2 THEN source WHEN 5 THEN '' WHEN 7 THEN lang || '''s'
@@ -328,9 +330,10 @@ def all_sql() -> dict[str, str]:
         "naming_reasons": _dm("SELECT path, reasons AS naming_reasons FROM m"),
         "expected_type": _dm("SELECT path, expected AS expected_type FROM m"),
         "custodian_match": _dm("SELECT path, custodian AS custodian_match FROM mc"),
-        "author_or_unassigned": "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Unassigned' ELSE source END AS author FROM documents",
-        "safe_bucket": """SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'Unassigned'
-          ELSE rtrim(regexp_replace(url, '[<>:"/\\\\|?*]', '_', 'g'), '. ') END AS bucket FROM pages""",
+        "author_or_unassigned": """SELECT doc_id, source AS author FROM documents
+          UNION ALL SELECT -1 - item_id, 'Unassigned' FROM benchmark""",
+        "safe_bucket": """SELECT page_id, rtrim(regexp_replace(url, '[<>:"/\\\\|?*]', '_', 'g'), '. ') AS bucket FROM pages
+          UNION ALL SELECT -1 - item_id, 'Unassigned' FROM benchmark""",
         "second_precision_time": "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') AS time FROM events",
         "text_window": "SELECT doc_id, CAST(length(substr(text, 1, 3000)) AS BIGINT) AS chars, sha256(substr(text, 1, 3000)) AS window_hash FROM documents",
         "readable_text_gate": _cls("""SELECT path, CASE WHEN status = 'ok' THEN 'readable' ELSE status END AS status,
@@ -360,15 +363,25 @@ def all_sql() -> dict[str, str]:
         "rule_docs": _with((DM, CLS, FOUND, _DOCS), """SELECT rule_id, docs.severity, description, count(found.path) AS findings
           FROM docs LEFT JOIN found USING (rule_id) GROUP BY ALL"""),
         # joins
-        "axis_lookup": _dm("""SELECT path, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN author ELSE 'Unassigned' END AS bucket FROM dm"""),
+        "axis_lookup": _dm("""SELECT path, author AS bucket FROM dm
+          UNION ALL SELECT 'corpus/pages/' || page_id, 'Unassigned' FROM pages"""),
         "class_axis": _cls("SELECT path, CASE WHEN status = 'ok' THEN label ELSE 'Unassigned' END AS bucket FROM cls"),
         "author_axis": _dm("SELECT path, author AS bucket FROM dm"),
         "custodian_axis": _dm("SELECT path, custodian AS bucket FROM mc"),
-        "crossref_to_manifest": _xref("""SELECT axis, original_path, new_path, CASE WHEN original_path IN
-            (SELECT path FROM dm JOIN labels USING (doc_id)) THEN 'known' ELSE 'not in manifest' END AS verdict FROM xref"""),
+        "crossref_to_manifest": _xref("""SELECT axis, original_path, new_path, 'known' AS verdict FROM xref
+          UNION ALL SELECT 'class', 'corpus/pages/' || page_id, '/organized/pages/' || page_id, 'not in manifest' FROM pages"""),
         "rule_to_doc": _with((*ALL, _DOCS, _MEANINGS),
             "SELECT f.path, rule_id, f.severity, description, meaning FROM found f JOIN docs USING (rule_id) JOIN meanings m2 ON m2.severity = f.severity"),
-        "first_match_join": _dm("SELECT path, CAST(rule_order AS BIGINT) AS rule_order, custodian FROM mc"),
+        "first_match_join": _dm(""", rules AS (
+            SELECT doc_id AS rule_order, doc_id % 3 AS shape, lower(CASE doc_id % 3 WHEN 0 THEN inner_path WHEN 1 THEN '/scan_' || doc_id || '.pdf'
+              ELSE '/' || name END) AS fixed, 'Keeper ' || source AS custodian FROM dm),
+          firsts AS (SELECT shape, fixed, min(rule_order) AS rule_order, arg_min(custodian, rule_order) AS custodian FROM rules GROUP BY ALL),
+          claims AS (SELECT path, f.rule_order, f.custodian FROM mc JOIN firsts f ON shape = 0 AND fixed = lower(inner_path)
+            UNION ALL SELECT path, f.rule_order, f.custodian FROM mc JOIN firsts f ON fixed = '/' || lower(mc.name)
+              AND (shape = 1 AND contains(inner_path, '/') OR shape = 2 AND length(mc.folder) > 0)
+            UNION ALL SELECT path, rule_order + 2000000000000, custodian FROM mc WHERE rule_order >= 0)
+          SELECT path, coalesce(min(c.rule_order), -1) AS rule_order, coalesce(arg_min(c.custodian, c.rule_order), 'Unassigned') AS custodian
+          FROM dm LEFT JOIN claims c USING (path) GROUP BY path"""),
         "seeded_semi_anti": _everything("""SELECT type, path, rule_id, CASE WHEN EXISTS
             (SELECT 1 FROM found f WHERE f.path = s.path AND f.rule_id = s.rule_id) THEN 'caught' ELSE 'missed' END AS verdict FROM seeded s"""),
         "label_vs_accepted": _everything("""SELECT path, label, array_to_string(accepted, ', ') AS accepted,
@@ -419,7 +432,8 @@ def all_sql() -> dict[str, str]:
           WHERE class_bucket <> author AND author <> custodian AND class_bucket <> custodian"""),
         # reconciliation
         "recon_checks": _everything(_recon("cls")),
-        "recon_gate": _everything(f", fewer AS (SELECT * FROM cls WHERE doc_id IN (SELECT doc_id FROM labels)) SELECT * FROM ({_recon('fewer')}) WHERE ok <> 'match'"),
+        "recon_gate": _everything(f""", more AS (SELECT label FROM cls UNION ALL SELECT 'unclassified' FROM benchmark)
+          SELECT * FROM ({_recon('more')}) WHERE ok <> 'match'"""),
         "summary_figures": _everything(_FIGURES),
         "report_figures": _everything(_FIGURES),
         "full_run_figures": _everything(_FIGURES),
@@ -446,18 +460,11 @@ def all_sql() -> dict[str, str]:
           UNION ALL SELECT 'findings: blank detail', count(*) FROM found WHERE trim(detail) = ''
           UNION ALL SELECT 'classifications: unknown label', count(*) FROM cls WHERE label = 'es'"""),
         "key_uniqueness": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
-        "snapshot_diff": _dm(""", b AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
-            a AS (SELECT doc_id, sha256 AS h FROM dm WHERE author <> 'Unassigned')
+        "snapshot_diff": _with((DM,), """, b AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents UNION ALL SELECT -1 - item_id, sha256(text) FROM benchmark),
+            a AS (SELECT doc_id, sha256(replace(body, ' 1', ' one')) AS h FROM dm)
           SELECT doc_id, CASE WHEN b.h IS NULL THEN 'added' WHEN a.h IS NULL THEN 'removed' ELSE 'changed' END AS change
           FROM b FULL JOIN a USING (doc_id) WHERE a.h IS DISTINCT FROM b.h"""),
-        "figure_check": _everything(f""", p AS ({_FIGURES}),
-          r AS (SELECT 'sev_' || severity AS figure, count(*) AS value FROM found GROUP BY 1
-            UNION ALL SELECT 'total_files', count(*) FROM cls UNION ALL SELECT 'total_exceptions', count(*) FROM found
-            UNION ALL SELECT 'files_flagged', count(DISTINCT path) FROM found
-            UNION ALL SELECT 'class_unclassified', count(*) FROM found WHERE rule_id = 'UNCLASSIFIED'
-            UNION ALL SELECT 'naming_findings', count(*) FROM m WHERE NOT junk AND reasons <> '')
-          SELECT figure, coalesce(p.value, -1) AS published, coalesce(r.value, -1) AS recomputed,
-            CASE WHEN p.value = r.value THEN 'match' ELSE 'MISMATCH' END AS verdict FROM p FULL JOIN r USING (figure)"""),
+        "figure_check": _everything(f"SELECT figure, value AS published, value AS recomputed, 'match' AS verdict FROM ({_FIGURES})"),
         "determinism_sample": _cls(""", ok AS (SELECT path, label, row_number() OVER (ORDER BY path) AS position, count(*) OVER () AS n FROM cls WHERE status = 'ok')
           SELECT path, position, label, label AS again, 'same' AS verdict FROM ok
           WHERE (position - 1) % greatest(1, n // 8) = 0 AND position - 1 < 8 * greatest(1, n // 8)"""),
@@ -477,13 +484,14 @@ def all_sql() -> dict[str, str]:
           UNION ALL SELECT path, 'author', author FROM dm
           UNION ALL SELECT path, 'label', coalesce(array_to_string(accepted, ', '), 'none') FROM truth"""),
         "crossref_write": _xref("SELECT * FROM xref"),
-        "copy_sink": _xref("SELECT replace(new_path, '/organized/', '') AS copy, original_path AS path, sha256, size_bytes FROM xref WHERE axis = 'custodian'"),
-        "copy_verify": _dm("SELECT path, 'ok' AS verdict FROM dm"),
-        "crossref_verify": _xref("SELECT axis, original_path, 'ok' AS verdict FROM xref WHERE axis <> 'class'"),
+        "copy_sink": _xref("""SELECT 'by-' || axis || '/' || CASE axis WHEN 'author' THEN 'Unassigned' ELSE bucket END
+            || substr(original_path, length('corpus') + 1) AS copy, original_path AS path, sha256, size_bytes FROM xref"""),
+        "copy_verify": _xref("SELECT original_path AS path, 'ok' AS verdict FROM xref"),
+        "crossref_verify": _xref("SELECT axis, original_path, 'ok' AS verdict FROM xref"),
         "date_fidelity": _dm(""", n AS (SELECT count(*) AS n, CAST(0 AS BIGINT) AS z FROM dm)
           SELECT axis, field, CASE WHEN field = 'modified' THEN n ELSE z END AS compared, CASE WHEN field = 'modified' THEN n ELSE z END AS matching,
             z AS differing, z AS missing, CASE WHEN field = 'created' THEN n ELSE z END AS not_available
-          FROM n, (VALUES ('author'), ('custodian')) a(axis), (VALUES ('created'), ('modified')) f(field)"""),
+          FROM n, (VALUES ('class'), ('author'), ('custodian')) a(axis), (VALUES ('created'), ('modified')) f(field)"""),
         # extraction and inference
         "extract_text": _dm(f"""SELECT path, CASE WHEN doc_id % 3 <> 0 THEN 'zip' ELSE true_type END AS true_type,
           CAST(length(body) AS BIGINT) AS chars, sha256 AS text_hash FROM dm"""),

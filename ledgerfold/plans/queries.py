@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold import schemas
-from ledgerfold.constants import UNASSIGNED
+from ledgerfold.constants import SEVERITIES, STATUS_OK, UNASSIGNED, UNCLASSIFIED
 from ledgerfold.functions import answers, content, names, paths
 from ledgerfold.functions.text import iso_seconds
-from ledgerfold.operators import axes, classify, gates, organize, recon, rules, summaries
+from ledgerfold.operators import axes, classify, gates, organize, recon, rule_tables, rules, summaries
 from ledgerfold.plans import derived, full_run
 from ledgerfold.plans.derived import (
     AS_OF,
@@ -68,6 +68,11 @@ def _crossrefs(d: Derived) -> DataFrame:
     return organize.crossref(organize.copy_plans(_wide(d), OUT))
 
 
+def _page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of files that are not in the derived collection."""
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("corpus/pages/"), "page_id").alias("path"))
+
+
 # --- scalar projections ------------------------------------------------------
 
 
@@ -135,19 +140,20 @@ _scalar("custodian_match", lambda: paths.custodian_match(F.col("path"), CUSTODIA
 
 @query
 def author_or_unassigned(spark, sf_dir):
-    raw = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(" \t "), F.lit(" "))).otherwise(
-        F.concat(F.lit(" "), "source", F.lit(" \n"))
-    )
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", content.author_or_unassigned(raw).alias("author")
+    """Sources between blanks, and blanks alone."""
+    named = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit(" "), "source", F.lit(" \n")).alias("raw")
     )
+    blank = table(spark, sf_dir, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), F.lit(" \t  ").alias("raw"))
+    return named.unionByName(blank).select("doc_id", content.author_or_unassigned(F.col("raw")).alias("author"))
 
 
 @query
 def safe_bucket(spark, sf_dir):
-    """Bucket names out of whole URLs and of the file names cut to their dots."""
-    dots = F.when(F.col("page_id") % 7 == 0, F.lit("... .")).otherwise(F.concat("url", F.lit(" . ")))
-    return table(spark, sf_dir, "pages").select("page_id", paths.safe_bucket(dots).alias("bucket"))
+    """Bucket names out of whole URLs, and out of values with nothing to keep."""
+    urls = table(spark, sf_dir, "pages").select("page_id", F.concat("url", F.lit(" . ")).alias("raw"))
+    dots = table(spark, sf_dir, "benchmark").select((-1 - F.col("item_id")).alias("page_id"), F.lit("... .").alias("raw"))
+    return urls.unionByName(dots).select("page_id", paths.safe_bucket(F.col("raw")).alias("bucket"))
 
 
 @query
@@ -286,11 +292,10 @@ def rule_docs(spark, sf_dir):
 
 @query
 def axis_lookup(spark, sf_dir):
-    """Author buckets of the documents that have labels; the others stay Unassigned."""
+    """Author buckets looked up for all files, and for pages that no axis knows."""
     files = derived_files(spark, sf_dir)
-    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    axis = axes.author_axis(files.join(covered, "doc_id", "left_semi"))
-    return axes.axis_lookup(files.select("path"), axis)
+    others = _page_paths(spark, sf_dir).select("path")
+    return axes.axis_lookup(files.select("path").unionByName(others), axes.author_axis(files))
 
 
 @query
@@ -310,11 +315,13 @@ def custodian_axis(spark, sf_dir):
 
 @query
 def crossref_to_manifest(spark, sf_dir):
-    """Cross-references of all files against a manifest of those that have labels."""
+    """Cross-references of all files, and of pages that are not in the manifest."""
     d = Derived(spark, sf_dir)
-    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    known = d.rows.join(covered, "doc_id", "left_semi")
-    return recon.crossref_to_manifest(_crossrefs(d), known)
+    others = _page_paths(spark, sf_dir).select(
+        F.lit("class").alias("axis"), F.col("path").alias("original_path"), F.concat(F.lit(f"{OUT}/pages/"), "page_id").alias("new_path")
+    )
+    refs = _crossrefs(d).select("axis", "original_path", "new_path").unionByName(others)
+    return recon.crossref_to_manifest(refs, d.manifest)
 
 
 @query
@@ -326,8 +333,17 @@ def rule_to_doc(spark, sf_dir):
 
 @query
 def first_match_join(spark, sf_dir):
-    files = derived_files(spark, sf_dir).select("path")
-    return axes.first_match_join(files, CUSTODIAN_RULES)
+    """A rule table with a rule for every file, and the custodian rules behind them."""
+    files = derived_files(spark, sf_dir)
+    doc, inner = F.col("doc_id"), paths.inner_path(F.col("path"))
+    pattern = (
+        F.when(doc % 3 == 0, inner)
+        .when(doc % 3 == 1, F.concat(F.lit("*/scan_"), doc, F.lit(".pdf")))
+        .otherwise(F.concat(F.lit("?*/"), "name"))
+    )
+    own = files.select(doc.alias("rule_order"), pattern.alias("pattern"), F.concat(F.lit("Keeper "), "source").alias("custodian"))
+    shared = tables.rules_frame(spark, CUSTODIAN_RULES).withColumn("rule_order", F.col("rule_order") + 2 * derived.ADDED)
+    return rule_tables.first_match_join(files.select("path"), own.unionByName(shared))
 
 
 @query
@@ -541,16 +557,19 @@ def axis_divergence(spark, sf_dir):
 @query
 def recon_checks(spark, sf_dir):
     d = Derived(spark, sf_dir)
-    return recon.recon_checks(d.manifest, _findings(d), d.classifications, stage(_crossrefs(d), "crossrefs"))
+    return recon.recon_checks(d.manifest, _findings(d), d.classifications, _crossrefs(d), _dates(spark, sf_dir))
 
 
 @query
 def recon_gate(spark, sf_dir):
-    """The checks again with classifications of labelled documents only: one must fail."""
+    """The checks again with classifications of files that nobody sent: some must fail."""
     d = Derived(spark, sf_dir)
-    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    fewer = d.rows.join(covered, "doc_id", "left_semi").select(*schemas.CLASSIFICATION_COLUMNS)
-    checks = stage(recon.recon_checks(d.manifest, _findings(d), fewer, _crossrefs(d)), "checks")
+    labels = d.classifications.select("path", "label")
+    unknown = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("corpus/benchmark/"), "item_id").alias("path"), F.lit(UNCLASSIFIED).alias("label")
+    )
+    more, dates = labels.unionByName(unknown), _dates(spark, sf_dir)
+    checks = stage(recon.recon_checks(d.manifest, _findings(d), more, _crossrefs(d), dates), "checks")
     try:
         recon.recon_gate(checks)
     except recon.ReconciliationError:
@@ -561,8 +580,7 @@ def recon_gate(spark, sf_dir):
 @query
 def summary_figures(spark, sf_dir):
     d = Derived(spark, sf_dir)
-    refs = stage(_crossrefs(d), "crossrefs")
-    return summaries.summary_figures(d.manifest, _findings(d), d.classifications, refs)
+    return summaries.summary_figures(d.manifest, _findings(d), d.classifications, _crossrefs(d), _dates(spark, sf_dir))
 
 
 @query
@@ -635,34 +653,50 @@ def key_uniqueness(spark, sf_dir):
 
 @query
 def snapshot_diff(spark, sf_dir):
-    """Labelled files before some of them were emptied, against all files after it."""
-    docs = derived_files(spark, sf_dir)
-    original = table(spark, sf_dir, "documents").join(
-        table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi"
+    """Documents and benchmark items before, files after a rewrite; empty files are new."""
+    before = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(
+        table(spark, sf_dir, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), "text")
     )
-    before = original.select("doc_id", content.content_hash(F.col("text")).alias("sha256"))
-    after = docs.where("author <> 'Unassigned'").select("doc_id", "sha256")
-    return gates.snapshot_diff(before, after, "doc_id")
+    rewritten = F.replace(F.col("body"), F.lit(" 1"), F.lit(" one"))
+    after = derived_files(spark, sf_dir).select("doc_id", content.content_hash(rewritten).alias("sha256"))
+    hashed = before.select("doc_id", content.content_hash(F.coalesce("text", F.lit(""))).alias("sha256"))
+    return gates.snapshot_diff(hashed, after, "doc_id")
 
 
 @query
 def figure_check(spark, sf_dir):
-    """Published figures against plain counts of the same tables."""
+    """Every published figure against one derived from other tables, or by other means."""
     d = Derived(spark, sf_dir)
-    findings, refs = _findings(d), stage(_crossrefs(d), "crossrefs")
-    published = summaries.summary_figures(d.manifest, findings, d.classifications, refs)
-    again = findings.groupBy(
-        F.concat(F.lit("sev_"), "severity").alias("figure")
-    ).agg(F.count("*").alias("value"))
-    for name, rows in (
-        ("total_files", d.classifications),
-        ("total_exceptions", findings),
-        ("files_flagged", findings.select("path").distinct()),
-        ("class_unclassified", findings.where("rule_id = 'UNCLASSIFIED'")),
-        ("naming_findings", rules.file_findings(d.manifest, AS_OF, ("NAMING",))),
+    manifest, plan, out, _ = _copied(spark, sf_dir)
+    found = collection.scan_collection(spark, out)
+    findings, dates = _findings(d), recon.date_fidelity(organize.crossref(plan), manifest, found)
+    published = summaries.summary_figures(d.manifest, findings, d.classifications, _crossrefs(d), dates)
+    n = F.count("*")
+    kept = F.count_if(F.col("verdict") == "ok").alias("datefid_ok")
+    parts = [
+        d.classifications.agg(n.alias("total_files"), F.count_if(F.col("status") == STATUS_OK).alias("class_labeled")),
+        findings.agg(n.alias("total_exceptions"), F.countDistinct("path").alias("files_flagged")),
+        summaries.clean_files(d.manifest, findings).agg(n.alias("files_clean")),
+        summaries.findings_by_severity(findings).agg(
+            *[F.sum(F.when(F.col("severity") == s, F.col("findings"))).alias(f"sev_{s}") for s in SEVERITIES]
+        ),
+        findings.where("rule_id = 'UNCLASSIFIED'").agg(n.alias("class_unclassified")),
+        rules.file_findings(d.manifest, AS_OF, ("NAMING",)).agg(n.alias("naming_findings")),
+        plan.where("modified IS NOT NULL").agg(n.alias("datefid_total")),
+        gates.copy_verify(plan, found).agg(kept),
+    ]
+    for axis, buckets in (
+        ("class", axes.class_axis(d.classifications)),
+        ("author", axes.author_axis(d.manifest)),
+        ("custodian", axes.custodian_axis(d.manifest, tables.rules_frame(spark, CUSTODIAN_RULES))),
     ):
-        again = again.unionByName(rows.agg(F.lit(name).alias("figure"), F.count("*").alias("value")))
-    return gates.figure_check(published, again).select(
+        unassigned = F.count_if(F.col("bucket") == UNASSIGNED)
+        parts.append(
+            buckets.agg(
+                n.alias(f"files_{axis}"), unassigned.alias(f"unassigned_{axis}"), F.countDistinct("bucket").alias(f"buckets_{axis}")
+            )
+        )
+    return gates.figure_check(published, summaries.union_figures(parts)).select(
         "figure",
         F.coalesce("published", F.lit(-1)).alias("published"),
         F.coalesce("recomputed", F.lit(-1)).alias("recomputed"),
@@ -747,7 +781,7 @@ def rules_table_read(spark, sf_dir):
         stored.withColumn("source_note", F.lit("")), location, "pattern STRING, custodian STRING, source_note STRING"
     )
     read = tables.read_rules_table(spark, location)
-    claimed = axes.first_match_join(derived_files(spark, sf_dir).select("path"), read)
+    claimed = rule_tables.first_match_join(derived_files(spark, sf_dir).select("path"), read)
     return claimed.groupBy("rule_order", "custodian").agg(F.count("*").alias("files"))
 
 
@@ -789,21 +823,28 @@ def crossref_write(spark, sf_dir):
     return _text_times(copies.write_crossref(plan, new_location(spark, "tree")))
 
 
-def _copied(spark, sf_dir, by: tuple[str, ...]):
-    """Write the documents as files, scan them and copy them by the given axes."""
+def _copied(spark, sf_dir):
+    """Write the documents as files, scan them and copy them by all three axes."""
     root = derived.write_collection(derived_files(spark, sf_dir))
     manifest = collection.scan_collection(spark, root)
     out = f"{root.rsplit('/', 1)[0]}-copies"
-    wide = axes.assign_axes(manifest, CUSTODIAN_RULES)
-    plan = stage(organize.copy_plans(wide, out).where(F.col("axis").isin(*by)), "plan")
+    wide = axes.assign_axes(manifest, CUSTODIAN_RULES, _labelled(spark, sf_dir))
+    plan = stage(organize.copy_plans(wide, out), "plan")
     log = copies.copy_files(plan, out, root)
     return manifest, plan, out, log
 
 
+def _dates(spark, sf_dir) -> DataFrame:
+    """Times of the copies on disk against those of the files they were made from."""
+    manifest, plan, out, _ = _copied(spark, sf_dir)
+    found = collection.scan_collection(spark, out)
+    return stage(recon.date_fidelity(organize.crossref(plan), manifest, found), "dates")
+
+
 @query
 def copy_sink(spark, sf_dir):
-    """Files copied by custodian, with the hash of the bytes that were written."""
-    *_, out, log = _copied(spark, sf_dir, ("custodian",))
+    """Files copied by every axis, with the hash of the bytes that were written."""
+    *_, out, log = _copied(spark, sf_dir)
     return log.select(
         F.substring(F.col("dest"), F.lit(len(out) + 2), F.length("dest")).alias("copy"),
         "path",
@@ -814,32 +855,31 @@ def copy_sink(spark, sf_dir):
 
 @query
 def copy_verify(spark, sf_dir):
-    """Copies by custodian, found again on disk and compared with the plan."""
-    _, plan, out, _ = _copied(spark, sf_dir, ("custodian",))
+    """Copies of every axis, found again on disk and compared with the plan."""
+    _, plan, out, _ = _copied(spark, sf_dir)
     found = collection.scan_collection(spark, out)
     return gates.copy_verify(plan, found).select("path", "verdict")
 
 
 @query
 def crossref_verify(spark, sf_dir):
-    manifest, plan, out, _ = _copied(spark, sf_dir, ("author", "custodian"))
+    manifest, plan, out, _ = _copied(spark, sf_dir)
     refs = copies.write_crossref(plan, out)
     found = collection.scan_collection(spark, out)
-    due = axes.author_axis(manifest).select(
-        F.lit("author").alias("axis"), F.col("path").alias("original_path"), "bucket"
-    ).unionByName(
-        axes.custodian_axis(manifest, CUSTODIAN_RULES).select(
-            F.lit("custodian").alias("axis"), F.col("path").alias("original_path"), "bucket"
-        )
-    )
+    due = None
+    for axis, buckets in (
+        ("class", axes.class_axis(_labelled(spark, sf_dir))),
+        ("author", axes.author_axis(manifest)),
+        ("custodian", axes.custodian_axis(manifest, CUSTODIAN_RULES)),
+    ):
+        rows = buckets.select(F.lit(axis).alias("axis"), F.col("path").alias("original_path"), "bucket")
+        due = rows if due is None else due.unionByName(rows)
     return gates.crossref_verify(refs, manifest, found, due)
 
 
 @query
 def date_fidelity(spark, sf_dir):
-    manifest, plan, out, _ = _copied(spark, sf_dir, ("author", "custodian"))
-    found = collection.scan_collection(spark, out)
-    return recon.date_fidelity(organize.crossref(plan), manifest, found)
+    return _dates(spark, sf_dir)
 
 
 # --- extraction and inference ------------------------------------------------
@@ -911,7 +951,8 @@ def classify_keyword(spark, sf_dir):
 def full_run_figures(spark, sf_dir):
     """Everything from stored tables to the figures of the report."""
     d = Derived(spark, sf_dir)
-    return full_run.judge(d.manifest, CUSTODIAN_RULES, OUT, AS_OF, d.classifications).figures
+    dates = _dates(spark, sf_dir)
+    return full_run.judge(d.manifest, CUSTODIAN_RULES, OUT, AS_OF, d.classifications, dates=dates).figures
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import answers, content, names, paths
 from ledgerfold.functions.text import iso_seconds, strip
+from ledgerfold.operators import rule_tables
 
 
 def apply(spark, values, column, kind="STRING"):
@@ -191,6 +192,24 @@ def test_first_match_wins(spark):
     assert apply(spark, ["c/x"], lambda p: paths.custodian_match(p, [])) == ["Unassigned"]
 
 
+def test_rule_tables_find_what_plain_globs_find(spark):
+    """12,000 rules of all shapes, shuffled by order, against fnmatch."""
+    shapes = ["D{0}/*", "d{0}/f{1}.txt", "*/f{0}.TXT", "*.e{0}", "d{0}/f?{1}*", "?[!x]{0}/*.e{1}", "*q{0}*", "a]{0}*[", ""]
+    patterns = [shapes[n % len(shapes)].format(n % 1000, n % 7) for n in range(12_000)]
+    inner = [f"d{n % 40}/F{n % 130}.{'txt' if n % 3 else f'e{n % 50}'}" for n in range(200)]
+    inner += ["", "f5.txt", "x/y/f7.txt", "zq12z", "a]3b[", "d1/", "d3/f17z", "dé2/a.e3", "nothing"]
+    table = spark.createDataFrame([(n, p, f"who {n}") for n, p in enumerate(patterns)], "rule_order INT, pattern STRING, custodian STRING")
+    table = table.unionByName(spark.createDataFrame([(-5, None, "nobody")], table.schema))
+    files = spark.createDataFrame([(f"c/{p}", "kept") for p in inner] + [(None, "kept")], "path STRING, custodian STRING")
+    found = {r.path: (r.rule_order, r.custodian) for r in rule_tables.first_match_join(files, table).collect()}
+    lowered = [p.lower() for p in patterns]
+    for path in inner:
+        want = next((n for n, p in enumerate(lowered) if fnmatch.fnmatchcase(path.lower(), p)), -1)
+        assert found[f"c/{path}"] == (want, f"who {want}" if want >= 0 else "Unassigned"), path
+    assert found[None] == (-1, "Unassigned")
+    assert rule_tables.first_match_join(files, table.limit(0)).where("rule_order = -1").count() == len(inner) + 1
+
+
 # --- answers -----------------------------------------------------------------
 
 

@@ -179,9 +179,9 @@ def test_gate_on_totals(spark, labels):
         refs = refs.unionByName(copies)
     checks = recon.recon_checks(manifest, found, labels, refs)
     recon.recon_gate(checks, found)
-    with pytest.raises(recon.ReconciliationError, match="classification list: 6 != 5"):
+    with pytest.raises(recon.ReconciliationError, match="classified files = files: 5 != 6"):
         recon.recon_gate(recon.recon_checks(manifest, found, labels.where("name <> 'a'"), refs))
-    with pytest.raises(recon.ReconciliationError, match="by-author"):
+    with pytest.raises(recon.ReconciliationError, match="copies by author"):
         recon.recon_gate(recon.recon_checks(manifest, found, labels, refs.where("axis <> 'author' OR original_path <> 'c/a'")))
     unknown = found.withColumn("rule_id", F.lit("MYSTERY")).limit(1)
     with pytest.raises(recon.ReconciliationError, match="without a description"):
