@@ -68,6 +68,11 @@ def _crossrefs(d: Derived) -> DataFrame:
     return organize.crossref(organize.copy_plans(_wide(d), OUT))
 
 
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names without contents, stored, since conditions on a derived path would repeat all it is made of."""
+    return stage(derived_files(spark, sf_dir).select("doc_id", "path", "name", "source", "author"), "names")
+
+
 def _page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of files that are not in the derived collection."""
     return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("corpus/pages/"), "page_id").alias("path"))
@@ -334,7 +339,7 @@ def rule_to_doc(spark, sf_dir):
 @query
 def first_match_join(spark, sf_dir):
     """A rule table with a rule for every file, and the custodian rules behind them."""
-    files = derived_files(spark, sf_dir)
+    files = _names(spark, sf_dir)
     doc, inner = F.col("doc_id"), paths.inner_path(F.col("path"))
     pattern = (
         F.when(doc % 3 == 0, inner)
@@ -496,7 +501,7 @@ def path_set_intersection(spark, sf_dir):
 
 @query
 def axis_value_overlap(spark, sf_dir):
-    return axes.axis_value_overlap(axes.assign_axes(derived_files(spark, sf_dir), CUSTODIAN_RULES))
+    return axes.axis_value_overlap(axes.assign_axes(_names(spark, sf_dir), CUSTODIAN_RULES))
 
 
 # --- organising --------------------------------------------------------------
