@@ -155,8 +155,13 @@ def _mixed(columns: list[str], packed: DataFrame, weights: tuple[int, ...], shar
 
 def emit_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The mix: the rows of docs, each as often as it is taken."""
-    clear = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
-    taken = mix_sources(clear, weights, share)
+    packed = docs.select(
+        F.struct(F.struct("*").alias("row")).alias("doc"),
+        F.col("doc_id").alias("id"),
+        "source",
+        word_count(F.col("text")).alias("size"),
+    )
+    taken = _mixed(["row"], packed, weights, share)
     return taken.where("copies > 0").select(
         "row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     ).select("row.*")
