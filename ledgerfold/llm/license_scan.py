@@ -1,11 +1,14 @@
 """Licence scans: a classifier of paragraphs, confirmed by templates.
 
-A paragraph is what stands between two line ends. Its word unigrams and bigrams are looked up in a sparse multinomial
+A paragraph is what stands between two line ends, or the neighbouring lines of a block without a blank line over which
+a statement is wrapped: where a template is found over a line end, its words are a paragraph of their own, which is
+given if it is confirmed, in place of the unconfirmed lines it covers. A paragraph's word unigrams and bigrams are looked up in a sparse multinomial
 logistic regression over licence families and `unknown`. The model is fitted on variants of the templates
 below and on a bounded sample of the corpus's own paragraphs as `unknown` (SAMPLE texts, those of smallest hash).
 Probabilities are calibrated by a temperature that is fitted on examples kept apart. A family with a
 probability of at least SURE is a prediction; it is confirmed if a template of the family has COVERED of its words, in
-order and number, in the paragraph.
+order and number, in the paragraph, within a stretch of 3 n - 6 words for a template of n: long ones are written with
+clauses in between, those of three words are not.
 
 N-grams that are frequent in the sample carry no weight. A paragraph without any n-gram of the
 model has the bias alone, which fitting makes `unknown`, so only paragraphs with one are scored; whole texts are read.
@@ -72,6 +75,7 @@ TEMPLATES = {
     ),
     "lgpl": (
         "this library is licensed under the gnu lesser general public license version 3",
+        "this library is free software you can redistribute it under the terms of the gnu lesser general public license",
         "spdx-license-identifier lgpl-3.0-or-later",
     ),
     "mit": (
@@ -115,14 +119,80 @@ def _variants(template: str) -> list[list[str]]:
     return made
 
 
+class Template:
+    def __init__(self, text: str) -> None:
+        words = text.split()
+        self.size, self.full = len(words), (1 << len(words)) - 1
+        self.span = max(self.size, 3 * self.size - 6)
+        self.masks: dict[str, int] = {}
+        for at, word in enumerate(words):
+            self.masks[word] = self.masks.get(word, 0) | 1 << at
+
+    def stretches(self, at: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+        """(words in order, first position, end) for the stretch from each of the positions (position, mask)."""
+        for k, (first, _) in enumerate(at):
+            # The longest common subsequence, a bit of `rest` for each word of the template that isn't in it.
+            rest, most, end = self.full, 0, first
+            for j in range(k, len(at)):
+                position, mask = at[j]
+                if position - first >= self.span:
+                    break
+                both = rest & mask
+                rest = ((rest + both) | (rest - both)) & self.full
+                if self.size - rest.bit_count() > most:
+                    most, end = self.size - rest.bit_count(), position + 1
+            yield most, first, end
+
+    def best(self, words: list[str]) -> tuple[float, int, int]:
+        """(share of the words, first position, end) of the best and then the shortest stretch."""
+        at = [(i, self.masks[w]) for i, w in enumerate(words) if w in self.masks]
+        most, first, end = max(self.stretches(at), key=lambda x: (x[0], x[1] - x[2]), default=(0, 0, 0))
+        return most / self.size, first, end
+
+    def matches(self, at: list[tuple[int, int]]) -> Iterator[tuple[float, int, int]]:
+        """Stretches with COVERED of the words that don't overlap, each the best of those that begin within it."""
+        found: tuple[int, int, int] | None = None
+        for most, first, end in self.stretches(at):
+            if found and first >= found[2]:
+                yield found[0] / self.size, found[1], found[2]
+                found = None
+            if most >= COVERED * self.size and (not found or (most, first - end) > (found[0], found[1] - found[2])):
+                found = most, first, end
+        if found:
+            yield found[0] / self.size, found[1], found[2]
+
+
+KNOWN = {family: [Template(text) for text in texts] for family, texts in TEMPLATES.items()}
+_ALL = [template for known in KNOWN.values() for template in known]
+_HOLDING: dict[str, list[tuple[int, int]]] = {}
+for _number, _template in enumerate(_ALL):
+    for _word, _mask in _template.masks.items():
+        _HOLDING.setdefault(_word, []).append((_number, _mask))
+REACH = max(template.span for template in _ALL)
+
+
+def wrapped(words: list[str], line_of: list[int]) -> list[tuple[float, int, int]]:
+    """(share, first position, end) where a template is found over a line end; the best first."""
+    at: dict[int, list[tuple[int, int]]] = {}
+    for i, word in enumerate(words):
+        for number, mask in _HOLDING.get(word, ()):
+            at.setdefault(number, []).append((i, mask))
+    found = []
+    for number, positions in at.items():
+        if len(positions) >= COVERED * _ALL[number].size:
+            found += [m for m in _ALL[number].matches(positions) if line_of[m[1]] != line_of[m[2] - 1]]
+    return sorted(found, key=lambda m: (-m[0], m[1] - m[2], m[1]))
+
+
 class Classifier:
     def __init__(self) -> None:
         self.families = [*TEMPLATES, UNKNOWN]
         self.column: dict[str, int] = {}
+        self.single: set[bytes] = set()
+        self.pairs: set[tuple[bytes, ...]] = set()
         self.weights = np.zeros((0, len(self.families)))
         self.bias = np.zeros(len(self.families))
         self.temperature = 1.0
-        self.templates = {family: [Counter(t.split()) for t in known] for family, known in TEMPLATES.items()}
 
     def logits(self, words: list[str]) -> np.ndarray:
         at = sorted(self.column[g] for g in grams_of(words) if g in self.column)
@@ -131,15 +201,77 @@ class Classifier:
     def probabilities(self, words: list[str]) -> np.ndarray:
         return _softmax(self.logits(words)[None, :] / self.temperature)[0]
 
-    def predict(self, words: list[str]) -> tuple[str, float, float] | None:
-        """(family, probability, share of the best template's words), or None if unknown."""
+    def predict(self, words: list[str]) -> tuple[str, float, float, int, int] | None:
+        """(family, probability, share of the best template's words, where they begin and end), or None if unknown."""
         p = self.probabilities(words)
         best = int(np.argmax(p))
         if self.families[best] == UNKNOWN or p[best] < SURE:
             return None
-        have = Counter(words)
-        covered = max(sum((t & have).values()) / sum(t.values()) for t in self.templates[self.families[best]])
-        return self.families[best], float(p[best]), covered
+        covered = max((t.best(words) for t in KNOWN[self.families[best]]), key=lambda x: (x[0], x[1] - x[2]))
+        return self.families[best], float(p[best]), *covered
+
+    def scan(self, text: bytes) -> list[tuple[int, str, float, float]]:
+        """(number of the first line, family, probability, covered) of a text that has been through _KEPT."""
+        rows: list[tuple[int, str, float, float]] = []
+        block: list[list[bytes]] = []
+        for number, line in enumerate([*text.split(b"\n"), b""]):
+            words = [w for w in (word.strip(b".-") for word in line.split()) if w]
+            if words:
+                block.append(words)
+            elif block:
+                rows += [(number - len(block) + row[0], *row[1:]) for row in self._scan_block(block)]
+                block = []
+        return rows
+
+    def _scan_block(self, block: list[list[bytes]]) -> list[tuple[int, str, float, float]]:
+        # A bigram of the model has its words next to each other; single words find most, pairs the rest.
+        hits = [not self.single.isdisjoint(w) or not self.pairs.isdisjoint(zip(w, w[1:])) for w in block]
+        over = [(a[-1], b[0]) in self.pairs for a, b in zip(block, block[1:])]
+        core = [hit or after or before for hit, after, before in zip(hits, [*over, False], [False, *over])]
+        if not any(core):
+            return []
+        near = core[:]
+        # Only what a template can reach from there is looked at.
+        for way in (range(len(block)), range(len(block) - 1, -1, -1)):
+            left = 0
+            for i in way:
+                near[i] |= left > 0
+                left = REACH if core[i] else left - len(block[i])
+        rows: dict[int, tuple[str, float, float]] = {}
+        joined: list[tuple[int, str, float, float]] = []
+        at = 0
+        while at < len(block):
+            words: list[str] = []
+            line_of: list[int] = []
+            taken: list[tuple[int, int]] = []
+            while at < len(block) and near[at]:
+                line = [w.decode("utf-8", "replace") for w in block[at]]
+                if hits[at] and (found := self.predict(line)):
+                    rows[at] = found[:3]
+                    if found[2] >= COVERED:
+                        taken.append((len(words) + found[3], len(words) + found[4]))
+                words += line
+                line_of += [at] * len(line)
+                at += 1
+            at += 1
+            candidates = wrapped(words, line_of)
+            for _, first, end in candidates:
+                # What overlaps it tells families apart whose templates are alike.
+                alike = [c for c in candidates if c[1] < end and first < c[2]]
+                for low, high in ((min(c[1] for c in alike), max(c[2] for c in alike)), (first, end)):
+                    found = self.predict(words[low:high])
+                    if not found or found[2] < COVERED:
+                        continue
+                    low, high = low + found[3], low + found[4]
+                    if line_of[low] == line_of[high - 1] or any(low < t[1] and t[0] < high for t in taken):
+                        continue
+                    taken.append((low, high))
+                    joined.append((line_of[low], *found[:3]))
+                    for i in range(line_of[low], line_of[high - 1] + 1):
+                        if i in rows and rows[i][2] < COVERED:
+                            del rows[i]
+                    break
+        return sorted([*((i, *row) for i, row in rows.items()), *joined])
 
 
 def _softmax(rows: np.ndarray) -> np.ndarray:
@@ -151,12 +283,13 @@ def fit(unknown: list[list[str]]) -> Classifier:
     """From the templates' variants and paragraphs of the corpus; those that hold a template are not unknown."""
     model = Classifier()
     known = [(f, v) for f, templates in TEMPLATES.items() for t in templates for v in _variants(t)]
-    bags = [t for templates in model.templates.values() for t in templates]
-    unknown = [w for w in unknown if not any(sum((t & Counter(w)).values()) >= COVERED * sum(t.values()) for t in bags)]
+    unknown = [w for w in unknown if not any(t.best(w)[0] >= COVERED for t in _ALL)]
     seen = Counter(g for words in unknown for g in grams_of(words))
     often = max(1.0, FREQUENT * len(unknown))
     vocabulary = sorted({g for _, words in known for g in grams_of(words) if seen[g] <= often})
     model.column = {g: i for i, g in enumerate(vocabulary)}
+    model.single = {g.encode() for g in vocabulary if " " not in g}
+    model.pairs = {tuple(g.encode().split()) for g in vocabulary if " " in g}
     examples = known + [(UNKNOWN, words) for words in unknown] + [(UNKNOWN, [])]
     x = np.zeros((len(examples), len(vocabulary)))
     for row, (_, words) in enumerate(examples):
@@ -184,10 +317,21 @@ def fit(unknown: list[list[str]]) -> Classifier:
     return model
 
 
+def unknown_lines(text: bytes) -> set[str]:
+    """The lines of a text that has been through _KEPT, but those a statement is wrapped over."""
+    found: set[str] = set()
+    for block in re.split(rb"\n[\x20.-]*\n", text):
+        lines = [words_of(line) for line in block.split(b"\n")]
+        line_of = [i for i, line in enumerate(lines) for _ in line]
+        statements = wrapped([w for line in lines for w in line], line_of)
+        gone = {i for _, first, end in statements for i in range(line_of[first], line_of[end - 1] + 1)}
+        found.update(" ".join(line) for i, line in enumerate(lines) if i not in gone)
+    return found
+
+
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines = [line for text in batch.column(0) for line in text.as_py().encode().translate(_KEPT).split(b"\n")]
-        texts = sorted({" ".join(words_of(line)) for line in lines})
+        texts = sorted({line for text in batch.column(0) for line in unknown_lines(text.as_py().encode().translate(_KEPT))})
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["words"])
 
 
@@ -206,27 +350,17 @@ def learn(docs: DataFrame, text_col: str = "text") -> Classifier:
 def scan_licenses(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, paragraph, family, probability, covered, confirmed): a row for each paragraph with a prediction.
 
-    paragraph counts from 0; covered is the share of the best template's words.
+    paragraph is the number of its first line, from 0; covered is the share of the best template's words.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = shared.value
-        single = {g.encode() for g in classifier.column if " " not in g}
         for batch in batches:
             rows: list[tuple[int, int, str, float, float]] = []
             for at, text in enumerate(batch.column(1)):
-                lines = (text.as_py() or "").encode().translate(_KEPT).split(b"\n")
-                for number, line in enumerate(lines):
-                    # A bigram of the model has its words next to each other; single words find most, pairs the rest.
-                    if single.isdisjoint(w.strip(b".-") for w in line.split()) and not any(
-                        g in classifier.column for g in grams_of(words_of(line))
-                    ):
-                        continue
-                    found = classifier.predict(words_of(line))
-                    if found:
-                        rows.append((at, number, *found))
+                rows += [(at, *row) for row in classifier.scan((text.as_py() or "").encode().translate(_KEPT))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),

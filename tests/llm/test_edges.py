@@ -85,6 +85,21 @@ def test_licenses(docs, none, spark):
     assert {(r.id, r.paragraph, r.family) for r in found if r.confirmed} == {(1, 1, "mit"), (1, 0, "reserved")}
 
 
+def test_wrapped_licenses(docs, spark):
+    gpl = "x y\n# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."
+    bsd = "Copyright (c) A. All rights reserved.\n\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"
+    apart = "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted"
+    scattered = "all tables that were reserved by people with rights\nreserved rights all\nlicense MIT the under released"
+    near = "All people of the town have\nrights and some seats were reserved for them"
+    texts = [(1, gpl), (2, lgpl), (3, bsd), (4, apart), (5, scattered), (6, near)]
+    model = license_scan.learn(docs)
+    found = license_scan.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    confirmed = {(r.id, r.paragraph, r.family) for r in found if r.confirmed}
+    assert confirmed == {(1, 1, "gpl"), (2, 0, "lgpl"), (3, 0, "reserved"), (3, 2, "bsd")}
+    assert {(1, 2), (2, 1), (3, 3)}.isdisjoint((r.id, r.paragraph) for r in found)
+
+
 def test_urls(spark):
     pages = spark.createDataFrame(
         [(1, "http://A.Example.org/es/x?q", "h"), (1, "http://A.Example.org/es/x?q", "h"), (None, None, None), (2, "no scheme", "h"),
