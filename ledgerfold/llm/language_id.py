@@ -9,9 +9,11 @@ smallest hashed identifier, so the sample is the same whatever the partitions. T
 driver, DIMENSIONS entries at most, with the PIECE trigrams at both ends: at most 70 KB a text however long it is, for
 PER_LANGUAGE texts a language. Both learning and predicting read whole texts.
 
-Rejection: pieces of the sample's texts of each length (by powers of two) give the cosines that texts of that length
-have; a text below MARGIN times their lowest thousandth is rejected. Short texts have low cosines, and are
-judged by those of other short texts.
+Rejection: the sample is dealt into FOLDS parts, and pieces of each part's texts of each length (by powers of two) are
+held against a model of the other parts; this gives the cosines that unseen texts of that language and length have. A
+text below their lowest LOW is rejected, judged by the language it is nearest to. Where a language has too few pieces to tell
+this share, those of all languages of that length count, and where these are too few, those of the next shorter length.
+Short texts have low cosines, and are judged by those of other short texts.
 
 Defined results: a null text and one without a letter are `und` with score 0 and rejected; so is every text if
 there was nothing to learn from; between equal cosines the language first in order wins; rows without identifier are held
@@ -33,7 +35,7 @@ PER_LANGUAGE = 400
 CENTROIDS = 4
 ROUNDS = 10
 DIMENSIONS = 1 << 13
-MARGIN = 0.5
+LOW = 0.005  # the share of unseen texts of a language that may be rejected
 PIECE = 1 << 12  # the longest pieces that rejection is set by
 FOLDS = 5
 UNDETERMINED = "und"
@@ -65,7 +67,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # one row each, normalised
     of: np.ndarray  # the language of each centroid
-    least: np.ndarray  # the lowest cosine accepted, by the power of two of the number of trigrams
+    least: np.ndarray  # the lowest cosine accepted, by language and the power of two of the number of trigrams
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
         return normal(np.log1p(counts) * self.idf)
@@ -83,7 +85,7 @@ class Model:
             return self.languages[0], 0.0, True
         language, cosine = self.nearest(grams)
         score = min(1.0, max(0.0, cosine))
-        return self.languages[language], score, score < self.least[length_class(len(grams))]
+        return self.languages[language], score, score < self.least[language, length_class(len(grams))]
 
 
 def normal(rows: np.ndarray) -> np.ndarray:
@@ -127,29 +129,50 @@ def example(language: str, text: str) -> Example:
     return Example(language, indices, counts, grams[:PIECE], grams[-PIECE:])
 
 
-def fit(examples: list[Example]) -> Model:
-    """A model of the examples; their order decides between equals."""
-    examples = [e for e in examples if len(e.indices)]
+def fit_centroids(examples: list[Example]) -> Model:
+    """A model that rejects nothing; the order of the examples decides between equals."""
     languages = sorted({e.language for e in examples})
     held = np.zeros(DIMENSIONS)
     for e in examples:
         held[e.indices] += 1
     idf = np.log((1 + len(examples)) / (1 + held)) + 1
-    classes = PIECE.bit_length()
-    model = Model(languages, idf, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros(classes))
+    least = np.zeros((len(languages), PIECE.bit_length()))
+    model = Model(languages, idf, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), least)
     if not languages:
         return model
     found = [
         cluster(np.array([model.vector(e.dense()) for e in examples if e.language == language])) for language in languages
     ]
     model.centroids, model.of = np.concatenate(found), np.repeat(np.arange(len(found)), [len(f) for f in found])
+    return model
+
+
+def lowest(cosines: list[float]) -> float | None:
+    """What LOW of unseen texts are expected to lie below; None if there are too few to tell."""
+    rank = int(LOW * (len(cosines) + 1))
+    return sorted(cosines)[rank - 1] if rank else None
+
+
+def fit(examples: list[Example]) -> Model:
+    """A model of the examples; their order decides between equals."""
+    examples = [e for e in examples if len(e.indices)]
+    model = fit_centroids(examples)
+    classes = PIECE.bit_length()
+    found: list[list[list[float]]] = [[[] for _ in range(classes)] for _ in model.languages]
+    for fold in range(FOLDS):
+        others = fit_centroids([e for i, e in enumerate(examples) if i % FOLDS != fold])
+        for e in examples[fold::FOLDS]:
+            if e.language not in others.languages:
+                continue
+            for at in range(min(classes, len(e.start).bit_length())):
+                pieces = (e.start[: 1 << at], e.end[-(1 << at) :])
+                found[model.languages.index(e.language)][at] += [others.nearest(p)[1] for p in pieces]
     for at in range(classes):
-        long_enough = [e for e in examples if len(e.start) >= 1 << at]
-        pieces = [e.start[: 1 << at] for e in long_enough] + [e.end[-(1 << at) :] for e in long_enough]
-        if pieces:
-            model.least[at] = MARGIN * np.quantile([model.nearest(p)[1] for p in pieces], 0.001)
-        elif at:
-            model.least[at] = model.least[at - 1]
+        pooled = lowest([c for of in found for c in of[at]])
+        for language, of in enumerate(found):
+            own = lowest(of[at])
+            shorter = model.least[language, at - 1] if at else 0.0
+            model.least[language, at] = next(x for x in (own, pooled, shorter) if x is not None)
     return model
 
 

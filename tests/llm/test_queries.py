@@ -3,14 +3,16 @@
 import hashlib
 import os
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
 
 import public_tokenizers
-from ledgerfold.llm import secret_scan, simhash_dedup
+from ledgerfold.llm import language_id, secret_scan, simhash_dedup
 from ledgerfold.llm.oracle import llm_sql
 from ledgerfold.llm.queries import CONTROL_TEXT, codec, llm_queries
 from tests.compare import compare, duckdb_views
@@ -199,3 +201,44 @@ def test_shards_lose_no_pair():
     assert links.root.tolist() == plain_components(points)
 
 
+
+
+def learnable(sf, per_language=400):
+    """(lang, text), the first of each language."""
+    found, seen = [], Counter()
+    for r in pq.read_table(f"{TESTDATA}/{sf}/documents.parquet", columns=["lang", "text"]).to_pylist():
+        if r["lang"] and r["text"] and seen[r["lang"]] < per_language:
+            seen[r["lang"]] += 1
+            found.append((r["lang"], r["text"]))
+    return found
+
+
+def fitted(rows):
+    return language_id.fit([language_id.example(lang, text) for lang, text in rows])
+
+
+def test_language_left_out_is_rejected():
+    docs = learnable("sf0.1")
+    for left in ("es", "fr", "de"):
+        model = fitted([row for row in docs if row[0] != left])
+        unlearnt = [model.predict(text)[2] for lang, text in docs if lang == left]
+        assert sum(unlearnt) >= 0.9 * len(unlearnt) > 50
+
+
+def test_texts_kept_apart_from_the_fit_stay():
+    docs = learnable("sf0.01")
+    for part in range(2):
+        model = fitted(docs[part::2])
+        apart = [model.predict(text)[2] for _, text in docs[1 - part :: 2] if len(set(text.split())) >= 30]
+        assert sum(apart) <= 0.01 * len(apart)
+
+
+def test_short_passages_of_other_languages_are_rejected():
+    model = fitted(learnable("sf0.1"))
+    passages = (
+        "La donna è mobile qual piuma al vento, muta d'accento e di pensiero.",
+        "De kat zit op de mat en kijkt naar de vogels buiten in de tuin.",
+        "Suomi on pohjoismainen valtio, joka sijaitsee Euroopassa.",
+        "Gallia est omnis divisa in partes tres, quarum unam incolunt Belgae.",
+    )
+    assert [model.predict(text)[2] for text in passages] == [True] * 4
