@@ -88,6 +88,36 @@ SELECT doc_id,
 FROM texts WINDOW same AS (PARTITION BY text_sha256)
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RANKED = f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWERED}, '{_TERM}') AS terms FROM documents
+), sized AS (
+  SELECT d, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), corpus AS (
+  SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS length FROM sized
+), counted AS (
+  SELECT d, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, unnest(terms) AS term FROM sized) GROUP BY d, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * total + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM counted GROUP BY term), corpus
+), asked AS (
+  SELECT i, item_id, unnest(list_distinct(regexp_extract_all({_LOWERED}, '{_TERM}'))) AS term
+  FROM (SELECT *, row_number() OVER () AS i FROM benchmark)
+), scored AS (
+  SELECT i, item_id, d,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * total) // length)))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN sized USING (d), corpus
+  GROUP BY i, item_id, d
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT i, item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS place
+  FROM scored JOIN sized USING (d) WHERE score > 0
+) WHERE place <= 10
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT}
+    return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT, "op12_lexical_search": RANKED}
