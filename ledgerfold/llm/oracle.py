@@ -88,6 +88,30 @@ SELECT doc_id,
 FROM texts WINDOW same AS (PARTITION BY text_sha256)
 """
 
+REPEATS = f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents
+), starts AS (
+  SELECT d, doc_id, words, unnest(range(1, len(words) - 48)) AS first FROM docs WHERE len(words) >= 50
+), hashed AS (
+  SELECT d, doc_id, first, md5(array_to_string(words[first:first + 49], ' ')) AS sequence FROM starts
+), judged AS (
+  SELECT d, first, doc_id > min(doc_id) OVER (PARTITION BY sequence) AS gone FROM hashed
+), removed AS (
+  SELECT d, list_distinct(flatten(list(range(first, first + 50)))) AS places FROM judged WHERE gone GROUP BY d
+), places AS (
+  SELECT d, unnest(places) AS place FROM removed
+), word_rows AS (
+  SELECT d, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs
+), left_over AS (
+  SELECT w.d, string_agg(word, ' ' ORDER BY w.place) AS kept, count(*) AS n_kept
+  FROM word_rows w LEFT JOIN places p ON w.d = p.d AND w.place = p.place WHERE p.place IS NULL GROUP BY w.d
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN left_over USING (d)
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -120,4 +144,4 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT, "op12_lexical_search": RANKED}
+    return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT, "op11_substring_dedup": REPEATS, "op12_lexical_search": RANKED}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import bpe, chat_format, exact_dedup, language_id, lexical_search, license_scan, mixing, secret_scan
-from ledgerfold.llm import simhash_dedup, topk_search, url_filter
+from ledgerfold.llm import simhash_dedup, substring_dedup, topk_search, url_filter
 from ledgerfold.llm.common import table
 from ledgerfold.sources.staging import stage
 
@@ -102,6 +102,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs).drop("text")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.cut_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lexical_search.search_ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -119,6 +124,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_byte_bpe,
         op10_exact_dedup,
+        op11_substring_dedup,
         op12_lexical_search,
     )
     return {query.__name__: query for query in found}
