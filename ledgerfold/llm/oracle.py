@@ -142,6 +142,49 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
 ) WHERE place <= 10
 """
 
+PHRASES = f"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM cut
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS first FROM pieces
+), phrases AS (
+  SELECT lang, size, array_to_string(words[first:first + size - 1], ' ') AS phrase
+  FROM starts, range(1, 6) AS sizes(size) WHERE first + size - 1 <= len(words)
+), counted AS (
+  SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE f >= 100 AND size >= 2
+), cuts AS (
+  SELECT c.lang, c.size, c.phrase, a, k, p.f AS l, q.f AS r, n,
+    (1000 * a::HUGEINT * n::HUGEINT) // (p.f::HUGEINT * q.f::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counted p ON p.lang = c.lang AND p.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN counted q ON q.lang = c.lang AND q.phrase = array_to_string(c.words[k + 1:c.size], ' ')
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn FROM cuts) WHERE turn = 1
+), kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM candidates b WHERE b.lang = s.lang AND b.size > s.size AND 100 * b.a >= 100 * s.a
+      AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+) WHERE rank <= 2000
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_exact_topk": TOP_K, "op2_source_mix": MIX, "op4_url_filter": URLS, "op10_exact_dedup": EXACT, "op11_substring_dedup": REPEATS, "op12_lexical_search": RANKED}
+    return {
+        "op1_exact_topk": TOP_K,
+        "op2_source_mix": MIX,
+        "op4_url_filter": URLS,
+        "op10_exact_dedup": EXACT,
+        "op11_substring_dedup": REPEATS,
+        "op12_lexical_search": RANKED,
+        "op13_collocations": PHRASES,
+    }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import bpe, chat_format, exact_dedup, language_id, lexical_search, license_scan, mixing, secret_scan
-from ledgerfold.llm import simhash_dedup, substring_dedup, topk_search, url_filter
+from ledgerfold.llm import bpe, chat_format, collocations, exact_dedup, language_id, lexical_search, license_scan
+from ledgerfold.llm import mixing, secret_scan, simhash_dedup, substring_dedup, topk_search, url_filter
 from ledgerfold.llm.common import table
 from ledgerfold.sources.staging import stage
 
@@ -112,6 +112,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search_ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_topk,
@@ -126,5 +130,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_exact_dedup,
         op11_substring_dedup,
         op12_lexical_search,
+        op13_collocations,
     )
     return {query.__name__: query for query in found}
