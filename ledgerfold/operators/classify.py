@@ -34,7 +34,7 @@ class ModelUnavailable(RuntimeError):
     """The model cannot be reached at all; the job stops instead of recording errors."""
 
 
-def _tabulate(
+def tabulate(
     df: DataFrame, text: Column, result: str, hint: Column | None, keep: Sequence[str]
 ) -> DataFrame:
     hint = folder_hint(F.col("path")) if hint is None else hint
@@ -92,7 +92,7 @@ def classify_batch(
             parse_answer(F.col("_reply.answer"), F.col("_reply.error"), labels)
         ),
     )
-    return _tabulate(judged, F.col("_text"), "_result", hint, keep)
+    return tabulate(judged, F.col("_text"), "_result", hint, keep)
 
 
 # Letters a word is made of, after lower-casing; all else parts words.
@@ -149,4 +149,4 @@ def classify_keyword(
             F.expr(answer)
         ),
     )
-    return _tabulate(judged, F.col("_text"), "_result", hint, keep)
+    return tabulate(judged, F.col("_text"), "_result", hint, keep)

@@ -13,7 +13,7 @@ from ledgerfold import schemas
 from ledgerfold.constants import SEVERITIES, STATUS_OK, UNASSIGNED, UNCLASSIFIED
 from ledgerfold.functions import answers, content, names, paths
 from ledgerfold.functions.text import iso_seconds
-from ledgerfold.operators import axes, classify, gates, organize, recon, rule_tables, rules, summaries
+from ledgerfold.operators import axes, classify, gates, organize, recon, rule_tables, rules, summaries, trained
 from ledgerfold.plans import derived, full_run
 from ledgerfold.plans.derived import (
     AS_OF,
@@ -949,6 +949,29 @@ def classify_keyword(spark, sf_dir):
     return _labelled(spark, sf_dir)
 
 
+def _is_held_out(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
+
+
+def _quality_labels(spark, sf_dir) -> DataFrame:
+    """The derived files of labelled documents, with a label and whether they are kept from the fit."""
+    quality = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(
+        "doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("truth")
+    )
+    return derived_files(spark, sf_dir).join(quality, "doc_id").withColumn("held_out", _is_held_out(F.col("doc_id")))
+
+
+@query
+def classify_trained(spark, sf_dir):
+    """Quality learnt from four fifths of the labelled documents, predicted for all documents."""
+    labelled = _quality_labels(spark, sf_dir).where("NOT held_out").select("body", "truth")
+    model = trained.train(labelled, "body", "truth")
+    location = new_location(spark, "model")
+    model.save(location)
+    again = trained.Trained.load(spark, location)
+    return trained.classify_trained(derived_files(spark, sf_dir), again, text="body", keep=("doc_id",))
+
+
 # --- whole runs --------------------------------------------------------------
 
 
