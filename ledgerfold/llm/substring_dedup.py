@@ -48,7 +48,7 @@ from ledgerfold.sources.staging import stage
 
 WINDOW = 50
 GRAM = 8
-BLOCK_FRAGMENTS = 10_000
+BLOCK_FRAGMENTS = 1_000
 # Lists of wanted fragments are broadcast up to this many; beyond it the texts are shuffled to them.
 BROADCAST_FRAGMENTS = 1_000_000
 
