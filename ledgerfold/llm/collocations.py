@@ -48,7 +48,8 @@ BEST = 2000
 SAMPLE_PARTS = 8
 # The sample's threshold is this share of what MIN_COUNT comes to in it.
 LOWERED = 0.4
-BATCH_WORDS = 2_000_000
+BATCH_WORDS = 1_000_000
+ROWS_OUT = 50_000
 MIN_BITS, MAX_BITS, BITS_A_PHRASE = 16, 27, 64
 COUNTS = "lang string, phrase string, size int, n long"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -68,11 +69,16 @@ def _seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode(), seed=1))
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    found = np.array([_seed(lang)])
-    for word in phrase.encode().split(b" "):
-        found = _grown(found, np.array([xxhash.xxh64_intdigest(word)], np.uint64))
-    return int(found[0])
+def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
+    """The hashes of phrases, as the batches compute them from place to place."""
+    seeds = {lang: _seed(lang) for lang in set(langs)}
+    found = np.fromiter((seeds[lang] for lang in langs), np.uint64, len(langs))
+    words = [phrase.encode().split(b" ") for phrase in phrases]
+    for k in range(MAX_WORDS):
+        longer = np.array([at for at, some in enumerate(words) if len(some) > k], np.int64)
+        own = np.fromiter((xxhash.xxh64_intdigest(words[at][k]) for at in longer), np.uint64, len(longer))
+        found[longer] = _grown(found[longer], own)
+    return found
 
 
 class Field:
@@ -195,6 +201,12 @@ def count_phrases(docs: DataFrame, sizes: range, member: Field | None, done: lis
     """(lang, phrase, size, n) over docs (lang, text)."""
     shared = docs.sparkSession.sparkContext.broadcast((member, done))
 
+    def counted_in(held: dict[str, Batch]) -> Iterator[pa.RecordBatch]:
+        while held:
+            for rows in held.popitem()[1].phrases(sizes, *shared.value):
+                for at in range(0, rows.num_rows, ROWS_OUT):
+                    yield rows.slice(at, ROWS_OUT)
+
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Batch] = {}
         for batch in given:
@@ -203,11 +215,8 @@ def count_phrases(docs: DataFrame, sizes: range, member: Field | None, done: lis
                     held[lang] = Batch(lang)
                 held[lang].add(text)
                 if sum(b.size for b in held.values()) >= BATCH_WORDS:
-                    for full in held.values():
-                        yield from full.phrases(sizes, *shared.value)
-                    held = {}
-        for full in held.values():
-            yield from full.phrases(sizes, *shared.value)
+                    yield from counted_in(held)
+        yield from counted_in(held)
 
     counted = docs.select("lang", "text").mapInArrow(batches, COUNTS)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
@@ -219,8 +228,7 @@ def field_of(phrases: DataFrame) -> Field:
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            slots = np.array([phrase_hash(lang, phrase) for lang, phrase in pairs], np.uint64) & np.uint64((1 << bits) - 1)
+            slots = phrase_hashes(batch.column(0).to_pylist(), batch.column(1).to_pylist()) & np.uint64((1 << bits) - 1)
             yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64))], names=["slot"])
 
     slots = phrases.select("lang", "phrase").mapInArrow(batches, "slot long")
