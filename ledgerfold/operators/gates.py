@@ -272,11 +272,12 @@ def determinism_check(sample: DataFrame, again: DataFrame) -> DataFrame:
 # --- copies ------------------------------------------------------------------
 
 
-def copy_verify(plan: DataFrame, copies: DataFrame) -> DataFrame:
+def copy_verify(plan: DataFrame, copies: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """Every planned or present copy with the first thing wrong with it, or `ok`.
 
     `copies` is an inventory of the output tree. A copy anywhere but at its
-    exact planned place counts twice: missing there and phantom here.
+    exact planned place counts twice: missing there and phantom here. With the `log` of the
+    copying, times that the store could not keep are told from times that were lost.
     """
     want = plan.select(
         "dest",
@@ -292,14 +293,19 @@ def copy_verify(plan: DataFrame, copies: DataFrame) -> DataFrame:
         F.col("size_bytes").alias("got_size"),
         F.date_trunc("second", "modified").alias("got_modified"),
     )
+    told = F.lit(True)
+    if log is not None:
+        want = want.join(log.select("dest", F.col("time_kept").alias("_told")), "dest", "left")
+        told = F.coalesce("_told", F.lit(True))
     kept = F.endswith(F.col("dest"), F.concat(F.lit("/"), F.col("bucket"), F.lit("/"), inner_path(F.col("path"))))
     verdict = (
         F.when(F.col("want_hash").isNull(), "phantom")
         .when(F.col("got_hash").isNull(), "missing")
         .when(F.col("want_hash") != F.col("got_hash"), "bytes differ")
         .when(F.col("want_size") != F.col("got_size"), "size differs")
-        .when(F.col("want_modified") != F.col("got_modified"), "modified time not kept")
+        .when(told & (F.col("want_modified") != F.col("got_modified")), "modified time not kept")
         .when(~kept, "path not reconstructable")
+        .when(~told, "ok, the store keeps no times")
         .otherwise("ok")
     )
     return want.join(got, "dest", "full_outer").select(
@@ -322,8 +328,8 @@ def crossref_verify(
         "axis", "original_path", safe_bucket(F.col("bucket")).alias("_due_bucket")
     )
     verdict = (
-        F.when(F.col("_original_hash").isNull(), "unknown original")
-        .when(F.col("sha256") != F.col("_original_hash"), "hash disagrees with manifest")
+        F.when(F.col("_original_hash").isNull(), "original was never listed")
+        .when(F.col("sha256") != F.col("_original_hash"), "recorded hash is not the original's")
         .when(F.col("_copy_hash").isNull(), "copy does not exist")
         .when(F.col("_copy_hash") != F.col("_original_hash"), "copy is not the original")
         .when(~F.col("bucket").eqNullSafe(F.col("_due_bucket")), "bucket disagrees with the axis")
@@ -362,8 +368,3 @@ def planted_date_check(seeded: DataFrame, manifest: DataFrame, as_of: dt.date) -
         F.date_format("modified", "yyyy-MM-dd").alias("modified"),
         F.when(out_of_range(day, as_of), "intact").otherwise("lost").alias("verdict"),
     )
-
-
-def unassigned_files(plan: DataFrame) -> DataFrame:
-    """Files that have no value on their axis."""
-    return plan.where(F.col("bucket") == UNASSIGNED)

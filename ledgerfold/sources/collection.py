@@ -7,33 +7,34 @@ systems instead.
 
 from __future__ import annotations
 
-import hashlib
+import os
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain, islice
+from zlib import crc32
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold import schemas
-from ledgerfold.constants import HEAD_BYTES
 from ledgerfold.functions.content import true_type
 from ledgerfold.functions.paths import file_name, manifest_path, suffix
+from ledgerfold.sources import inventory
 from ledgerfold.sources.documents import as_file, document_author, document_text
+from ledgerfold.sources.inventory import AUTHORED
 from ledgerfold.sources.staging import stage
 from ledgerfold.sources.stores import birth_time_ns, canonical, is_link, open_store
 
-BLOCK = 1 << 16
-TASK_BYTES = 512 << 20
 TASK_FILES = 10_000
 FOLDERS_PER_ROUND = 64
 FOLDERS_PER_TASK = 256
+NAMES_PER_TASK = 20_000
 BATCH_CHARS = 32 << 20
 
-_LISTED = "inner_path STRING, is_folder BOOLEAN, size_bytes BIGINT, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
-_AUTHORED = (".pdf", ".docx", ".xlsx")
+# shares is 0 for a file, -1 for a folder not looked at, else the number of shares it is dealt out in.
+_LISTED = "inner_path STRING, share INT, shares INT, size_bytes BIGINT, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
 
 
 class CollectionError(ValueError):
@@ -56,78 +57,91 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
     In a round every known folder is listed, and a limited number below it; the
     folders left over are dealt out anew. So small trees take a round or two,
-    and no process sees the whole of a large one.
+    and no process sees the whole of a large one. A local folder of more than NAMES_PER_TASK
+    names is dealt out in shares by a hash of the name: every share reads the names and looks
+    at its own files alone. Other stores give a folder's names and sizes in one listing, which
+    Arrow cannot begin in the middle, so there a folder stays with one task.
     """
     width = spark.sparkContext.defaultParallelism
 
-    def entries(store: fs.FileSystem, base: str, top: str) -> Iterator[tuple]:
-        waiting = deque([top])
+    def infos(store: fs.FileSystem, folder: str, share: int, shares: int) -> Iterator[fs.FileInfo]:
+        if store.type_name != "local":
+            yield from store.get_file_info(fs.FileSelector(folder))
+            return
+        with os.scandir(folder) as names:
+            own = (n.path for n in names if shares == 1 or crc32(os.fsencode(n.name)) % shares == share)
+            while paths := list(islice(own, 1000)):
+                yield from store.get_file_info(paths)
+
+    def shares_of(store: fs.FileSystem, folder: str) -> int:
+        if store.type_name != "local":
+            return 1
+        with os.scandir(folder) as names:
+            return max(1, -(-sum(1 for _ in names) // NAMES_PER_TASK))
+
+    def entries(store: fs.FileSystem, base: str, top: str, share: int, shares: int) -> Iterator[tuple]:
+        waiting = deque([(top, share, shares)])
         for _ in range(FOLDERS_PER_ROUND):
             if not waiting:
                 return
-            inner = waiting.popleft()
-            for info in store.get_file_info(fs.FileSelector(f"{base}/{inner}" if inner else base)):
+            inner, share, shares = waiting.popleft()
+            folder = f"{base}/{inner}" if inner else base
+            if not shares:
+                shares = shares_of(store, folder)
+                if shares > 1:
+                    yield from ((inner, n, shares, 0, None, None) for n in range(shares))
+                    continue
+            for info in infos(store, folder, share, shares):
                 place = f"{inner}/{info.base_name}" if inner else info.base_name
                 if info.type == fs.FileType.File:
-                    born = birth_time_ns(store, info.path)
-                    yield place, False, info.size, info.mtime_ns, born
+                    yield place, 0, 0, info.size, info.mtime_ns, birth_time_ns(store, info.path)
                 elif info.type == fs.FileType.Directory and not is_link(store, info.path):
-                    waiting.append(place)
-        for inner in waiting:
-            yield inner, True, 0, None, None
+                    waiting.append((place, 0, 0))
+        yield from ((inner, share, shares or -1, 0, None, None) for inner, share, shares in waiting)
 
     def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_store(root)
         for folders in batches:
-            found = chain.from_iterable(entries(store, base, top) for top in folders["inner_path"])
+            found = chain.from_iterable(
+                entries(store, base, top, share, max(shares, 0))
+                for top, share, shares in zip(folders["inner_path"], folders["share"], folders["shares"])
+            )
             while rows := list(islice(found, TASK_FILES)):
-                frame = pd.DataFrame(
-                    rows, columns=["inner_path", "is_folder", "size_bytes", "modified", "created"]
-                )
+                frame = pd.DataFrame(rows, columns=["inner_path", "share", "shares", "size_bytes", "modified", "created"])
                 for field in ("modified", "created"):
                     frame[field] = pd.to_datetime(frame[field]).dt.floor("s")
                 yield frame
 
-    folders = spark.createDataFrame([("",)], "inner_path STRING")
+    folders = spark.createDataFrame([("", 0, -1)], "inner_path STRING, share INT, shares INT")
     files, tasks = None, 1
     while True:
         level = stage(folders.repartition(tasks).mapInPandas(below, _LISTED), "listing")
-        found = level.where("NOT is_folder").drop("is_folder")
+        found = level.where("shares = 0").drop("share", "shares")
         files = found if files is None else files.unionByName(found)
-        folders = level.where("is_folder").select("inner_path")
+        folders = level.where("shares <> 0").select("inner_path", "share", "shares")
         waiting = folders.count()
         if not waiting:
             return files
-        tasks = max(min(width, waiting), -(-waiting // FOLDERS_PER_TASK))
+        # A share of a large folder is work for a task of its own.
+        large = folders.where("shares > 1").count()
+        tasks = max(min(width, waiting), -(-waiting // FOLDERS_PER_TASK), large)
 
 
-def balanced(files: DataFrame) -> DataFrame:
-    """Spread files over tasks by number and bytes, at least one task per core."""
-    width = files.sparkSession.sparkContext.defaultParallelism
-    n, size = files.agg(F.count("*"), F.coalesce(F.sum("size_bytes"), F.lit(0))).first()
-    tasks = max(width, -(-n // TASK_FILES), -(-size // TASK_BYTES))
-    return files.repartition(tasks)
+def read_inventory(spark: SparkSession, location: str, keep: Column | None = None) -> DataFrame:
+    """The files of a collection with what their bytes tell, read when the rows are asked for.
 
+    `keep` is a condition on inner_path, size_bytes, modified and created; other files are not opened.
+    """
+    root = resolve_collection(location)
+    listing = list_files(spark, root)
+    return inventory.read_listing(spark, root, listing if keep is None else listing.where(keep))
 
-def scan_collection(spark: SparkSession, location: str) -> DataFrame:
-    """The manifest of a folder: one row per file, staged so that bytes are read once."""
+
+def scan_collection(spark: SparkSession, location: str, keep: Column | None = None) -> DataFrame:
+    """The manifest of a folder: one row per file, staged so that bytes are read once; `keep` as above."""
     root = resolve_collection(location)
     name = root.rstrip("/").rsplit("/", 1)[-1]
-
-    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = open_store(root)
-        for files in batches:
-            found = [_read_file(store, f"{base}/{inner}") for inner in files["inner_path"]]
-            files["sha256"], files["head"], files["author"] = zip(*found) if found else ((), (), ())
-            yield files
-
-    listed = balanced(list_files(spark, root))
-    # Results travel back in batches of file heads: 2 KB per row.
-    read = listed.mapInPandas(
-        fingerprint,
-        "inner_path STRING, size_bytes BIGINT, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ, "
-        "sha256 STRING, head BINARY, author STRING",
-    )
+    read = read_inventory(spark, root, keep)
     file = file_name(F.col("inner_path"))
     manifest = read.select(
         manifest_path(F.lit(name), F.col("inner_path")).alias("path"),
@@ -144,22 +158,6 @@ def scan_collection(spark: SparkSession, location: str) -> DataFrame:
     return stage(manifest, "manifest")
 
 
-def _read_file(store: fs.FileSystem, path: str) -> tuple[str, bytes, str]:
-    """One pass in blocks: hash and head; the author needs a second look at three formats."""
-    digest, head = hashlib.sha256(), b""
-    with store.open_input_stream(path) as data:
-        while block := data.read(BLOCK):
-            if len(head) < HEAD_BYTES:
-                head += block[: HEAD_BYTES - len(head)]
-            digest.update(block)
-    dot = path.rsplit("/", 1)[-1].rfind(".")
-    extension = path.rsplit("/", 1)[-1][dot:].lower() if dot > 0 else ""
-    if extension not in _AUTHORED or not head:
-        return digest.hexdigest(), head, document_author(None, "")
-    with store.open_input_file(path) as data:
-        return digest.hexdigest(), head, document_author(data, extension)
-
-
 # --- text --------------------------------------------------------------------
 
 
@@ -224,7 +222,7 @@ def extract_author_from_content(files: DataFrame) -> DataFrame:
             yield pd.DataFrame({"path": rows["path"], "author": found})
 
     slim = files.select("path", "extension", "content")
-    able = F.coalesce(ext.isin(*_AUTHORED), F.lit(False))
+    able = F.coalesce(ext.isin(*AUTHORED), F.lit(False))
     rest = slim.where(~able).select("path", F.lit(document_author(None, "")).alias("author"))
     return slim.where(able).mapInPandas(authors, "path STRING, author STRING").unionByName(rest)
 

@@ -157,8 +157,8 @@ def test_crossref_reasons(spark):
     axes = crossrefs.selectExpr("axis", "original_path", "'b' AS bucket")
     got = {r.original_path.split("/")[1]: r.verdict for r in gates.crossref_verify(crossrefs, manifest, copies, axes).collect()}
     assert got == {
-        "gone": "unknown original",
-        "hash": "hash disagrees with manifest",
+        "gone": "original was never listed",
+        "hash": "recorded hash is not the original's",
         "nocopy": "copy does not exist",
         "bad": "copy is not the original",
         "bucket": "bucket disagrees with the axis",
