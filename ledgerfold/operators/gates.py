@@ -17,7 +17,6 @@ from ledgerfold.constants import (
     SEVERITIES,
     STATUS_OK,
     STATUSES,
-    UNASSIGNED,
     UNCLASSIFIED,
 )
 from ledgerfold.functions.paths import inner_path, original_folder, safe_bucket
