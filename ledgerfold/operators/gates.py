@@ -21,7 +21,7 @@ from ledgerfold.constants import (
 )
 from ledgerfold.functions.paths import inner_path, original_folder, safe_bucket
 from ledgerfold.functions.text import lookup, strip
-from ledgerfold.operators.numbering import number_rows
+from ledgerfold.operators.selection import rows_at
 from ledgerfold.operators.recon import located
 from ledgerfold.operators.rules import out_of_range
 
@@ -246,14 +246,13 @@ def systematic_sample(
 ) -> DataFrame:
     """Every n-th labelled file in path order, at most `size`, with position and label.
 
-    The step is the number of labelled files divided by the size, rounded down.
+    The step is the number of labelled files divided by the size, rounded down. Only the ranges of
+    paths that hold a wanted place are sorted.
     """
     ok = classifications.where(F.col("status") == STATUS_OK).select("path", "label")
-    total = ok.agg(F.count("*").alias("n")).scalar()
-    step = F.greatest(F.lit(1), F.floor(total / size))
-    numbered = number_rows(ok, [F.col("path")])
-    at = F.col("position") - 1
-    chosen = numbered.where((at % step == 0) & (at < step * size))
+    total = ok.count()
+    step = max(1, total // size)
+    chosen = rows_at(ok, "path", [1 + at * step for at in range(size)], total)
     return files.join(F.broadcast(chosen), "path")  # at most `size` rows
 
 

