@@ -13,8 +13,10 @@ What tasks look up is a bit field of the hashes of the known phrases, of at most
 bits however many there are. A wrong bit makes a phrase counted in vain and never
 makes one lost; a phrase is counted wholly in one pass or not at all, because every pass uses
 the fields of those before it. Counts are of the words themselves: positions of equal hash are
-compared word by word before they are counted as one, and the shuffle groups by the phrase.
-They are combined in batches of BATCH_WORDS words, then map side, so a phrase that fills a
+compared word by word before they are counted as one, and the shuffle groups by the phrase. Most
+of the border are pairs: where the proposed words are at most PAIRED_WORDS, they are numbered and a
+pair is shuffled as one number, by the same rule and with the same counts.
+Counts are combined in batches of BATCH_BYTES, then map side, so a phrase that fills a
 third of the text is a row a batch. Scores are decimals of 38 digits.
 
 Defined results: a null language is `und`; a null or empty text has no words; repeated rows
@@ -48,8 +50,10 @@ BEST = 2000
 SAMPLE_PARTS = 8
 # The sample's threshold is this share of what MIN_COUNT comes to in it.
 LOWERED = 0.4
-BATCH_WORDS = 1_000_000
+BATCH_BYTES = 6_000_000
 ROWS_OUT = 50_000
+# Up to this many proposed words are numbered, and their pairs counted by numbers instead of by words.
+PAIRED_WORDS = 1_000_000
 MIN_BITS, MAX_BITS, BITS_A_PHRASE = 16, 27, 64
 COUNTS = "lang string, phrase string, size int, n long"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -93,39 +97,51 @@ class Field:
         return (self.words[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-class Words(dict):
-    """Numbers of words in the order they are met; 0 is the break between pieces."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 class Batch:
     """The words of some documents of one language."""
 
     def __init__(self, lang: str) -> None:
         self.lang = lang
-        self.known = Words({b".": 0})
-        self.runs: list[np.ndarray] = []
+        self.texts: list[bytes] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
         for piece in pieces(text.translate(_CLEAN)):
-            words = piece.replace(b".", b" . ").split()
-            self.runs.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
-            self.size += len(words)
-        self.runs.append(np.zeros(1, np.int32))
-
-    def phrases(self, sizes: range, member: Field | None, done: list[Field]) -> Iterator[pa.RecordBatch]:
+            self.texts.append(piece.replace(b".", b" . "))
+            self.size += len(piece)
+        self.texts.append(b".")
+
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """The words one after the other as numbers, 0 between pieces, and how they are spelt; a last 0 ends them."""
+        texts = pa.array(self.texts, pa.large_binary()).view(pa.large_string())
+        coded = pc.ascii_split_whitespace(texts).flatten().dictionary_encode()
+        spelt = coded.dictionary.view(pa.large_binary())
+        words = coded.indices.to_numpy().astype(np.int32) + 1
+        # Blanks at an end of a text leave an empty word there.
+        words = words[words != spelt.index(b"").as_py() + 1] if spelt.index(b"").as_py() >= 0 else words
+        words[words == spelt.index(b".").as_py() + 1] = 0
+        return np.append(words, np.int32(0)), pa.concat_arrays([pa.array([b"."], pa.large_binary()), spelt])
+
+    def pairs(self, first: int, known: pa.Array) -> pa.RecordBatch:
+        """(pair, n) of neighbours that are both known words; `first` is the number of the first of these."""
+        words, spelt = self.numbered()
+        own = pc.index_in(spelt, value_set=known).fill_null(-1).to_numpy()[words]
+        own[words == 0] = -1
+        held = (own[:-1] >= 0) & (own[1:] >= 0)
+        left, right = own[:-1][held].astype(np.int64) + first, own[1:][held].astype(np.int64) + first
+        pairs, counts = np.unique((left << 32) | right, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts.astype(np.int64))], names=["pair", "n"])
+
+    def phrases(
+        self, sizes: range, member: Field | None, done: list[Field], paired: pa.Array | None = None
+    ) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, size, n): words, and longer phrases whose parts of every size are members.
 
         Left out is what a pass with one of the earlier fields has counted by the same rule. A first
-        pass also gives the number of all words, as size 0.
+        pass also gives the number of all words, as size 0. Pairs of the `paired` words are counted elsewhere.
         """
-        words = np.concatenate([*self.runs, np.zeros(1, np.int32)])
-        spelt = pa.array(list(self.known), pa.large_binary())
-        own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.known), np.uint64, len(self.known))
+        words, spelt = self.numbered()
+        own = np.fromiter((xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()), np.uint64, len(spelt))
         at = np.flatnonzero(words)
         hashes = np.zeros(len(words), np.uint64)
         hashes[at] = _grown(np.full(len(at), _seed(self.lang)), own[words[at]])
@@ -152,6 +168,9 @@ class Batch:
             grown = _grown(hashes[at], own[words[at + size - 1]])
             hashes[:] = 0
             hashes[at] = grown
+            if size == 2 and paired is not None:
+                known = pc.is_in(spelt, value_set=paired).to_numpy(zero_copy_only=False)
+                counted |= known[words[at]] & known[words[at + 1]]
             wanted = at[~counted]
             if size in sizes and len(wanted):
                 first, counts = self._groups(words, wanted, hashes[wanted], size)
@@ -197,31 +216,70 @@ class Batch:
 # --- DataFrames -----------------------------------------------------------------------------------------------
 
 
-def count_phrases(docs: DataFrame, sizes: range, member: Field | None, done: list[Field]) -> DataFrame:
-    """(lang, phrase, size, n) over docs (lang, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast((member, done))
+def _batches(given: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
+    """Documents (lang, text) of a task as batches of one language each."""
+    held: dict[str, Batch] = {}
+    for batch in given:
+        for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+            if lang not in held:
+                held[lang] = Batch(lang)
+            held[lang].add(text)
+            if sum(b.size for b in held.values()) >= BATCH_BYTES:
+                while held:
+                    yield held.popitem()[1]
+    while held:
+        yield held.popitem()[1]
 
-    def counted_in(held: dict[str, Batch]) -> Iterator[pa.RecordBatch]:
-        while held:
-            for rows in held.popitem()[1].phrases(sizes, *shared.value):
-                for at in range(0, rows.num_rows, ROWS_OUT):
-                    yield rows.slice(at, ROWS_OUT)
+
+def count_phrases(
+    docs: DataFrame, sizes: range, member: Field | None, done: list[Field], paired: dict[str, pa.Array] | None = None
+) -> DataFrame:
+    """(lang, phrase, size, n) over docs (lang, text); `paired` are words whose pairs are left out."""
+    shared = docs.sparkSession.sparkContext.broadcast((member, done, paired or {}))
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Batch] = {}
-        for batch in given:
-            for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
-                if lang not in held:
-                    held[lang] = Batch(lang)
-                held[lang].add(text)
-                if sum(b.size for b in held.values()) >= BATCH_WORDS:
-                    yield from counted_in(held)
-        yield from counted_in(held)
+        member, done, paired = shared.value
+        for full in _batches(given):
+            for rows in full.phrases(sizes, member, done, paired.get(full.lang)):
+                for at in range(0, rows.num_rows, ROWS_OUT):
+                    yield rows.slice(at, ROWS_OUT)
 
     counted = docs.select("lang", "text").mapInArrow(batches, COUNTS)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
+def word_numbers(proposed: DataFrame) -> DataFrame | None:
+    """(lang, phrase, number) of the proposed words, in order; None where they are too many to send to every task."""
+    words = proposed.where("size = 1")
+    if words.limit(PAIRED_WORDS + 1).count() > PAIRED_WORDS:
+        return None
+    order = Window.orderBy("lang", "phrase")  # of at most PAIRED_WORDS rows
+    return stage(words.select("lang", "phrase", (F.row_number().over(order) - 1).alias("number")), "word-numbers")
+
+
+def count_pairs(docs: DataFrame, numbers: DataFrame, known: dict[str, pa.Array], min_count: int) -> DataFrame:
+    """(lang, phrase, size, n) of the frequent pairs of numbered words; a pair is one number until it is counted."""
+    starts = {r.lang: r.first for r in numbers.groupBy("lang").agg(F.min("number").alias("first")).collect()}
+    shared = docs.sparkSession.sparkContext.broadcast((starts, known))
+
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, known = shared.value
+        for full in _batches(given):
+            if full.lang in known:
+                rows = full.pairs(starts[full.lang], known[full.lang])
+                for at in range(0, rows.num_rows, ROWS_OUT):
+                    yield rows.slice(at, ROWS_OUT)
+
+    counted = docs.select("lang", "text").mapInArrow(batches, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    frequent = counted.where(F.col("n") >= min_count)
+    sides = frequent.select(F.expr("shiftright(pair, 32)").alias("left"), F.expr("pair & 4294967295").alias("right"), "n")
+    first = numbers.select(F.col("number").cast("long").alias("left"), "lang", F.col("phrase").alias("one"))
+    second = numbers.select(F.col("number").cast("long").alias("right"), F.col("phrase").alias("two"))
+    return sides.join(first, "left").join(second, "right").select(
+        "lang", F.concat_ws(" ", "one", "two").alias("phrase"), F.lit(2).alias("size"), "n"
+    )
+
+
 def field_of(phrases: DataFrame) -> Field:
     """The field of the given (lang, phrase); its size follows their number up to MAX_BITS."""
     bits = min(MAX_BITS, max(MIN_BITS, (phrases.count() * BITS_A_PHRASE).bit_length()))
@@ -264,8 +322,18 @@ def frequent_phrases(
     sample = stage(narrow.where(picked).select("lang", "text"), "sample")
     proposed = propose(sample, max(1.0, min_count / sample_parts * lowered))
     fields = [field_of(proposed)]
-    first = count_phrases(narrow, range(1, MAX_WORDS + 1), fields[0], [])
-    counted = stage(first.where((F.col("n") >= min_count) | (F.col("size") == 0)), "counted")
+    numbers, known = word_numbers(proposed), {}
+    if numbers is not None:
+        # At most PAIRED_WORDS words.
+        table = numbers.orderBy("number").select("lang", "phrase").toArrow()
+        for lang in pc.unique(table.column("lang")).to_pylist():
+            words = table.filter(pc.equal(table.column("lang"), lang)).column("phrase")
+            known[lang] = pa.array(words.to_pylist(), pa.large_string()).view(pa.large_binary())
+    first = count_phrases(narrow, range(1, MAX_WORDS + 1), fields[0], [], known)
+    first = first.where((F.col("n") >= min_count) | (F.col("size") == 0))
+    if numbers is not None:
+        first = first.unionByName(count_pairs(narrow, numbers, known, min_count))
+    counted = stage(first, "counted")
     totals = counted.where("size = 0").select("lang", F.col("n").alias("total"))
     frequent = counted.where("size > 0")
     # Phrases of the longest size have no longer ones.
