@@ -14,7 +14,8 @@ the state of at most HELD blocks of queries.
 Defined results: vectors that are null or empty, or hold null, NaN or infinity, and rows without identifier take no part; only vectors of
 one length are compared; a row is its own candidate no more than its repetitions are; repeated candidates are ranked
 each; query rows that repeat an identifier with another vector are answered each, equal ones once; ties go to the smaller identifier; a
-query without candidates has no rows; other columns are not read. Components beyond 2^26 are refused, as their product may not fit.
+query without candidates has no rows; other columns are not read. Scores are exact and ranked as such: pairs whose
+products may pass 64 bits are summed as unlimited whole numbers, and a score beyond 64 bits is given as the nearest 64-bit one.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ CANDIDATES = 4096  # in a block
 QUERIES = 256  # in a block
 HELD = 64  # blocks of queries in a row of the grid
 COLUMNS = 256  # of the grid at most
-LARGEST = 1 << 26
+SAFE = float(1 << 62)  # sums below are exact in 64 bits, also where the estimate is a little off
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -54,15 +56,16 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     """One block: identifiers, and components dimension by dimension."""
     rows = rows.sort_values("id", kind="stable")
     columns = np.stack(rows["vector"].to_numpy()).T
-    if np.abs(columns).max() > LARGEST:
-        raise ValueError(f"components of a vector exceed {LARGEST}")
+    columns = np.ascontiguousarray(columns, np.int64)
+    # Four bytes a component where all of them fit.
+    width = "<i4" if columns.min() >= -(1 << 31) and columns.max() < 1 << 31 else "<i8"
     ids = rows["id"].to_numpy(np.int64)
     return pd.DataFrame(
         {
             "dims": [len(columns)],
             "block": [rows["block"].iloc[0]],
             "ids": [ids.tobytes()],
-            "columns": [np.ascontiguousarray(columns, np.int64).astype("<i4").tobytes()],
+            "columns": [columns.astype(width).tobytes()],
             "n": [len(ids)],
         }
     )
@@ -81,12 +84,18 @@ class _Best:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
         self.ids, self.vectors, self.k = ids, vectors, k
         self.remaining = _remaining(vectors.T)
+        self.sizes = np.abs(vectors.astype(np.float64)).max(axis=1)
         self.scores: list[np.ndarray] = [np.zeros(0, np.int64) for _ in ids]
         self.found: list[np.ndarray] = [np.zeros(0, np.int64) for _ in ids]
 
-    def search(self, at: int, ids: np.ndarray, columns: np.ndarray, remaining: np.ndarray) -> None:
+    def search(self, at: int, ids: np.ndarray, columns: np.ndarray, remaining: np.ndarray, sizes: np.ndarray) -> None:
         query, k = self.vectors[at], self.k
-        left = np.flatnonzero(ids != self.ids[at])
+        others, narrow = ids != self.ids[at], sizes * self.sizes[at] * len(query) < SAFE
+        wide, left = np.flatnonzero(others & ~narrow), np.flatnonzero(others & narrow)
+        if len(wide):
+            exact = np.empty(len(wide), object)
+            exact[:] = [sum(int(a) * int(b) for a, b in zip(query, columns[:, c])) for c in wide]
+            self._take(at, ids[wide], exact)
         known = self.scores[at]
         if len(known) < k and len(left):
             # Enough of the block to have k scores; the bound needs one.
@@ -104,15 +113,20 @@ class _Best:
                 ahead = self.remaining[high // DIMS if high < len(query) else -1, at] * remaining[
                     high // DIMS if high < len(query) else -1, left
                 ]
-                # A little more than the bound, as norms are rounded.
-                stay = partial + ahead * (1 + 1e-9) + 1e-3 >= least
+                # A little more than the bound, as norms and large sums are rounded.
+                rounded = partial.astype(np.float64)
+                slack = 1e-3 + 1e-15 * (np.abs(rounded) + abs(float(least)))
+                stay = rounded + ahead * (1 + 1e-9) + slack >= float(least)
                 partial, left = partial[stay], left[stay]
         if len(left):
             self._take(at, ids[left], partial)
 
     def _take(self, at: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores[at], scores]), np.concatenate([self.found[at], ids])
-        best = np.lexsort((ids, -scores))[: self.k]
+        if scores.dtype == object:
+            best = np.array(sorted(range(len(ids)), key=lambda n: (-int(scores[n]), ids[n]))[: self.k], np.int64)
+        else:
+            best = np.lexsort((ids, -scores))[: self.k]
         self.scores[at], self.found[at] = scores[best], ids[best]
 
 
@@ -123,14 +137,20 @@ def _remaining(columns: np.ndarray) -> np.ndarray:
     return np.sqrt(np.array([squares[s:].sum(axis=0) for s in starts] + [np.zeros(columns.shape[1])]))
 
 
-def _numbers(data: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(data, "<i4").reshape(dims, -1).astype(np.int64)
+def _numbers(data: bytes, dims: int, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<i4" if len(data) == 4 * dims * n else "<i8").reshape(dims, -1).astype(np.int64)
+
+
+def _in_order(score: int) -> bytes:
+    """Bytes that sort as the score does, however large it is."""
+    return (score + (1 << 199)).to_bytes(25, "big")
 
 
 def _results(best: dict[tuple[int, int], _Best]) -> Iterator[pa.RecordBatch]:
     for (dims, block), b in best.items():
         sizes = [len(s) for s in b.scores]
         if sum(sizes):
+            scores = [int(score) for some in b.scores for score in some]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(b.ids, sizes)),
@@ -138,9 +158,10 @@ def _results(best: dict[tuple[int, int], _Best]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.full(sum(sizes), block)),
                     pa.array(np.full(sum(sizes), dims)),
                     pa.array(np.concatenate(b.found)),
-                    pa.array(np.concatenate(b.scores)),
+                    pa.array([min(max(score, LEAST), MOST) for score in scores], pa.int64()),
+                    pa.array([_in_order(score) for score in scores], pa.binary()),
                 ],
-                names=["query_id", "place", "q_block", "dims", "vec_id", "score"],
+                names=["query_id", "place", "q_block", "dims", "vec_id", "score", "exact"],
             )
 
 
@@ -156,17 +177,18 @@ def _search(k: int):
                     best.clear()
                 if key not in best:
                     q_ids = np.frombuffer(row["q_ids"], "<i8")
-                    best[key] = _Best(q_ids, _numbers(row["q_columns"], dims).T.copy(), k)
-                ids, columns = np.frombuffer(row["ids"], "<i8"), _numbers(row["columns"], dims)
-                remaining = _remaining(columns)
+                    best[key] = _Best(q_ids, _numbers(row["q_columns"], dims, len(q_ids)).T.copy(), k)
+                ids = np.frombuffer(row["ids"], "<i8")
+                columns = _numbers(row["columns"], dims, len(ids))
+                remaining, sizes = _remaining(columns), np.abs(columns.astype(np.float64)).max(axis=0)
                 for at in range(len(best[key].ids)):
-                    best[key].search(at, ids, columns, remaining)
+                    best[key].search(at, ids, columns, remaining, sizes)
         yield from _results(best)
 
     return run
 
 
-_FOUND = "query_id long, place long, q_block long, dims long, vec_id long, score long"
+_FOUND = "query_id long, place long, q_block long, dims long, vec_id long, score long, exact binary"
 
 
 def search_top_k(
@@ -203,7 +225,7 @@ def search_top_k(
     )
     pairs = met.select("dims", "q_block", "q_ids", "q_columns", "ids", "columns")
     found = pairs.mapInArrow(_search(k), _FOUND)
-    ranks = Window.partitionBy("query_id", "q_block", "dims", "place").orderBy(F.col("score").desc(), "vec_id")
+    ranks = Window.partitionBy("query_id", "q_block", "dims", "place").orderBy(F.col("exact").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )

@@ -206,3 +206,18 @@ def test_top_k(spark):
     s = 256 * 256
     assert found == [(0, 1, 1, 3 * s), (0, 2, 2, 3 * s), (0, 3, 50, 3 * s // 2), (50, 1, 0, 3 * s // 2), (50, 2, 1, s), (50, 3, 2, s)]
     assert topk_search.search_top_k(vectors.where("vec_id = -1"), asks).count() == 0
+
+
+def test_top_k_of_large_components(spark):
+    """Products beyond 32, 53 and 64 bits, ranked by their exact values."""
+    rows = [(n, [float(3 ** (n % 40)) * (-1) ** n, 3e5 + n, 1.0]) for n in range(1, 120)] + [(0, [2.0**54, -(2.0**54), 1.0]), (50, [2.0**40, 5.0, -3.0]), (200, [1e300, -1e300, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.search_top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0)
+    whole = [(i, [min(max(int(256 * x) if x == int(x) else int(256 * x // 1), -(2**63)), 2**63 - 1) for x in v]) for i, v in rows]
+    expected = []
+    for i, v in whole:
+        if i % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i)[:5]
+            expected += [(i, at + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for at, (s, j) in enumerate(best)]
+    # Identifiers 50 occur twice and are answered each.
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
