@@ -166,3 +166,35 @@ def first_match(text: Column, rules: Iterable[tuple[str, object]]) -> Column:
 def custodian_match(path: Column, rules: Iterable[tuple[str, str]]) -> Column:
     """Custodian of a manifest path: the inner path decides, first match wins."""
     return F.coalesce(first_match(inner_path(path), rules), F.lit(UNASSIGNED))
+
+
+# --- addresses ---------------------------------------------------------------
+
+
+def normal_path(path: Column) -> Column:
+    """A path without empty and `.` steps, each `..` taking the step before it away; `/` above the top is `/`."""
+    steps = F.filter(F.split(path, "/"), lambda step: (step != "") & (step != "."))
+    top = F.startswith(path, F.lit("/"))
+
+    def walk(done: Column, step: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        goes_up = (step == "..") & F.coalesce(last != "..", F.lit(False))
+        lost = (step == "..") & (F.size(done) == 0) & top
+        return F.when(goes_up, F.slice(done, F.lit(1), F.size(done) - 1)).when(lost, done).otherwise(F.array_append(done, step))
+
+    kept = F.array_join(F.reduce(steps, F.array().cast("array<string>"), walk), "/")
+    return F.when(top, F.concat(F.lit("/"), kept)).when(kept == "", F.lit(".")).otherwise(kept)
+
+
+def address_verdict(location: Column, schemes: list[str]) -> Column:
+    """Whether an address can name a collection: `ok`, or why not. Only what the text tells, nothing is opened."""
+    scheme = F.lower(F.regexp_extract(location, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    rest = F.regexp_replace(location, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    steps = F.size(F.filter(F.split(rest, "/"), lambda step: step != ""))
+    remote = scheme.isin(*schemes)
+    return (
+        F.when(F.coalesce(F.trim(location), F.lit("")) == "", "no address")
+        .when((scheme != "") & (scheme != "file") & ~remote, "no file system is known for it")
+        .when(steps < F.when(remote, 2).otherwise(1), "the root of a store")
+        .otherwise("ok")
+    )

@@ -6,7 +6,8 @@ import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.constants import LABELS, STATUS_OK
@@ -18,6 +19,8 @@ from ledgerfold.functions.answers import (
 )
 from ledgerfold.functions.paths import folder_hint
 from ledgerfold.functions.text import sql_text
+from ledgerfold.operators.skew import attach_groups
+from ledgerfold.sources.staging import stage
 
 # Words that speak for a label, for use where no model is given.
 BUSINESS_WORDS = {
@@ -27,6 +30,8 @@ BUSINESS_WORDS = {
     "report": ("report", "period", "summary", "quarter", "forecast", "revenue", "expenses"),
 }
 
+ROUND_TEXTS = 100_000
+
 Predict = Callable[[list[str]], "list[str | Exception]"]
 
 
@@ -53,6 +58,24 @@ def tabulate(
     )
 
 
+def _asking(predict: Predict):
+    """A column function from texts to raw answers and names of failures; null texts are not asked."""
+
+    @F.pandas_udf("answer STRING, error STRING")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            asked = texts.dropna()
+            replies = predict(list(asked)) if len(asked) else []
+            if len(replies) != len(asked):
+                raise ModelUnavailable(f"{len(replies)} answers for {len(asked)} texts")
+            failed = [type(r).__name__ if isinstance(r, Exception) else None for r in replies]
+            answers = [None if isinstance(r, Exception) else r for r in replies]
+            out = pd.DataFrame({"answer": answers, "error": failed}, index=asked.index, dtype=object)
+            yield out.reindex(texts.index)
+
+    return ask
+
+
 def classify_batch(
     files: DataFrame,
     predict: Predict,
@@ -61,6 +84,7 @@ def classify_batch(
     window: int | None = None,
     hint: Column | None = None,
     keep: Sequence[str] = (),
+    store: str | None = None,
 ) -> DataFrame:
     """Classify files (path, name, text) with a model that answers in JSON.
 
@@ -68,24 +92,16 @@ def classify_batch(
     exception for a text it failed on, which becomes a model_error row. It
     raises to stop the job. Only the text column crosses to Python. Columns in
     `keep` are carried along, so a manifest and its labels can come from one pass.
-    """
-
-    @F.pandas_udf("answer STRING, error STRING")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            asked = texts.dropna()
-            replies = predict(list(asked)) if len(asked) else []
-            if len(replies) != len(asked):
-                raise ModelUnavailable(f"{len(replies)} answers for {len(asked)} texts")
-            failed = [type(r).__name__ if isinstance(r, Exception) else None for r in replies]
-            answers = [None if isinstance(r, Exception) else r for r in replies]
-            out = pd.DataFrame({"answer": answers, "error": failed}, index=asked.index, dtype=object)
-            yield out.reindex(texts.index)
 
+    With `store`, a location kept for one model, equal texts are asked once, and answers outlive
+    the run: see stored_answers().
+    """
     seen = text_window(F.coalesce(F.col(text), F.lit("")), window)
-    asked = files.withColumn("_text", seen).withColumn(
-        "_reply", ask(F.when(readable(F.col("_text")), F.col("_text")))
-    )
+    given = files.withColumn("_text", seen)
+    if store is None:
+        asked = given.withColumn("_reply", _asking(predict)(F.when(readable(F.col("_text")), F.col("_text"))))
+    else:
+        asked = _with_stored(given, predict, store)
     judged = asked.withColumn(
         "_result",
         F.when(~readable(F.col("_text")), no_text(F.col("_text"))).otherwise(
@@ -95,6 +111,56 @@ def classify_batch(
     return tabulate(judged, F.col("_text"), "_result", hint, keep)
 
 
+ANSWERS = "key STRING, answer STRING, error STRING"
+
+
+def read_answers(spark: SparkSession, store: str) -> DataFrame:
+    """(key, answer, error) of all finished rounds, one row a key."""
+    try:
+        answers = spark.read.schema(ANSWERS).parquet(store)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        answers = spark.createDataFrame([], ANSWERS)
+    return answers.dropDuplicates(["key"])
+
+
+def stored_answers(texts: DataFrame, predict: Predict, store: str, round_texts: int = ROUND_TEXTS) -> DataFrame:
+    """(key, answer, error) for every text of `texts` (text), where the key is the text's SHA-256.
+
+    Texts without an answer in the store are asked, each once however many rows hold it, in
+    rounds of about `round_texts`. A round's answers are added to the store when it is finished, so
+    a run that breaks off loses one round at most and the next one goes on from there. Failures on
+    a text are answers too. The store's rows are never changed.
+    """
+    spark = texts.sparkSession
+    keyed = texts.select(F.sha2("text", 256).alias("key"), "text")
+    missing = keyed.join(read_answers(spark, store), "key", "left_anti")
+    # Copies of a text are combined before the shuffle.
+    once = missing.groupBy("key").agg(F.first("text").alias("text"))
+    waiting = stage(once, "texts-to-ask")
+    rounds = -(-waiting.count() // round_texts)
+    for at in range(rounds):
+        some = waiting.where(F.pmod(F.xxhash64("key"), F.lit(rounds)) == at)
+        replies = some.select("key", _asking(predict)("text").alias("reply")).select("key", "reply.answer", "reply.error")
+        replies.write.mode("append").parquet(store)
+    return read_answers(spark, store)
+
+
+def _with_stored(given: DataFrame, predict: Predict, store: str) -> DataFrame:
+    can = readable(F.col("_text"))
+    asking = given.where(can).withColumn("_key", F.sha2("_text", 256))
+    answers = stored_answers(given.where(can).select(F.col("_text").alias("text")), predict, store)
+    sizes = asking.groupBy("_key").agg(F.count("*").alias("_copies"))
+    replies = sizes.join(answers.withColumnRenamed("key", "_key"), "_key").select(
+        "_key", "_copies", F.struct("answer", "error").alias("_reply")
+    )
+    # One text may be that of a third of all files.
+    answered = attach_groups(asking, replies, "_key", "_copies", "path").drop("_key", "_copies")
+    none = F.lit(None).cast("struct<answer:string,error:string>")
+    return answered.unionByName(given.where(~can).withColumn("_reply", none))
+
+
 # Letters a word is made of, after lower-casing; all else parts words.
 LETTERS = "[a-zà-ÿ]"
 

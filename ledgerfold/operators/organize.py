@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.functions.paths import inner_path, original_folder, safe_bucket
+from ledgerfold.functions.paths import inner_path, normal_path, original_folder, safe_bucket
 from ledgerfold.operators.axes import axes_of
 from ledgerfold.operators.skew import MIN_PIECE_ROWS, attach_groups
 from ledgerfold.schemas import CROSSREF_COLUMNS
+from ledgerfold.sources.staging import new_location, read_staged
 
 
 class CollisionError(RuntimeError):
@@ -93,14 +94,17 @@ def collisions(
 
 
 def refuse_collisions(plan: DataFrame) -> None:
-    """Stop before the first byte moves; names a few clashes and their number."""
+    """Stop before the first byte moves; all clashes are stored, and the message says where."""
     clashes = collisions(plan)
-    shown = clashes.limit(5).collect()
-    if shown:
-        listed = "\n".join(f"  {r.dest} <- {r.first_path} | {r.path}" for r in shown)
-        raise CollisionError(
-            f"{clashes.count()} file(s) would overwrite another one; nothing was copied.\n{listed}"
-        )
+    if clashes.isEmpty():
+        return
+    location = new_location(plan.sparkSession, "clashes")
+    clashes.write.parquet(location)
+    stored = read_staged(plan.sparkSession, location, clashes)
+    listed = "\n".join(f"  {r.dest} <- {r.first_path} | {r.path}" for r in stored.limit(5).collect())
+    raise CollisionError(
+        f"{stored.count()} file(s) would overwrite another one; nothing was copied. All are in {location}, as in\n{listed}"
+    )
 
 
 def folder_batches(plan: DataFrame) -> DataFrame:
@@ -111,6 +115,22 @@ def folder_batches(plan: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("files"))
 
 
+def output_verdicts(addresses: DataFrame) -> DataFrame:
+    """Rows (collection_root, out_root) with `verdict`: ok, or why the output may not go there."""
+    source, target = normal_path(F.col("collection_root")), normal_path(F.col("out_root"))
+
+    def below(inner: Column, outer: Column) -> Column:
+        return F.startswith(inner, F.concat(F.rtrim(outer, F.lit("/")), F.lit("/")))
+
+    verdict = (
+        F.when(source.isNull() | target.isNull(), "no address")
+        .when((target == source) | below(target, source), "inside the collection")
+        .when(below(source, target), "around the collection")
+        .otherwise("ok")
+    )
+    return addresses.withColumn("verdict", verdict)
+
+
 def refuse_unsafe_output(collection_root: str, out_root: str) -> None:
     """Output must be neither inside the collection nor around it."""
     source = posixpath.normpath(collection_root)

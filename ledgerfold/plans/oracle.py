@@ -440,6 +440,17 @@ def all_sql() -> dict[str, str]:
         "summary_figures": _everything(_FIGURES),
         "report_figures": _everything(_FIGURES),
         "full_run_figures": _everything(_FIGURES),
+        # Written files are plain text, so none of them tells an author.
+        "full_run_collection": _everything(f"""SELECT figure, CASE figure WHEN 'unassigned_author' THEN (SELECT count(*) FROM dm)
+          WHEN 'buckets_author' THEN 1 ELSE value END AS value FROM ({_FIGURES})"""),
+        "run_snapshot": _found("""SELECT 'manifest' AS name, count(*) AS "rows", count(DISTINCT path) AS paths FROM dm
+          UNION ALL SELECT 'classifications', count(*), count(DISTINCT path) FROM cls
+          UNION ALL SELECT 'exceptions', count(*), count(DISTINCT path) FROM found"""),
+        "intake_param": """SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'no file system is known for it' WHEN 2 THEN 'the root of a store'
+            WHEN 3 THEN 'ok' WHEN 4 THEN 'no address'
+            ELSE CASE WHEN regexp_matches(url, '^[a-z]*://[^/]+/+[^/]') THEN 'ok' ELSE 'the root of a store' END END AS verdict FROM pages""",
+        "output_guard": """SELECT page_id, ['ok', 'inside the collection', 'inside the collection', 'around the collection', 'ok'][page_id % 5 + 1] AS verdict
+          FROM pages WHERE regexp_extract(url, '^[a-z]*://([^/]*)', 1) <> ''""",
         "axis_summary": _xref(_SUMMARY + " GROUP BY axis"),
         # gates
         "absence_check": _everything("""SELECT type, path, rule_id, CASE WHEN rule_id = '' THEN 'no rule owns this type' ELSE 'missed' END AS problem
@@ -501,6 +512,7 @@ def all_sql() -> dict[str, str]:
         "extract_text": _dm(f"""SELECT path, CASE WHEN doc_id % 3 <> 0 THEN 'zip' ELSE true_type END AS true_type,
           CAST(length(body) AS BIGINT) AS chars, sha256 AS text_hash FROM dm"""),
         "extract_author": _dm("SELECT path, CASE WHEN doc_id % 3 = 0 THEN 'Unassigned' ELSE author END AS author FROM dm"),
+        "classify_stored": _with((DM, CLS, _ASKED), f"SELECT {CLS_COLUMNS} FROM judged"),
         "classify_batch": _with((DM, CLS, _ASKED), f"SELECT {CLS_COLUMNS} FROM judged"),
         "classify_keyword": _cls(f"SELECT {CLS_COLUMNS} FROM cls"),
         # whole runs

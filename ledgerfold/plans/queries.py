@@ -25,8 +25,8 @@ from ledgerfold.plans.derived import (
     derived_files,
     table,
 )
-from ledgerfold.sources import answer_key, collection, copies, tables
-from ledgerfold.sources.staging import new_location, stage
+from ledgerfold.sources import answer_key, collection, copies, snapshots, tables
+from ledgerfold.sources.staging import new_location, new_store_location, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -801,6 +801,55 @@ def exceptions_write(spark, sf_dir):
     return tables.write_exceptions(found, new_location(spark, "exceptions"))
 
 
+@query
+def run_snapshot(spark, sf_dir):
+    """The tables of a run, committed together and read back under their version."""
+    d = Derived(spark, sf_dir)
+    found = {"manifest": d.manifest, "classifications": d.classifications}
+    found["exceptions"] = rules.all_findings(d.manifest, AS_OF, d.classifications)
+    location = new_store_location(spark, "run")
+    snapshots.write_snapshot(spark, location, found)
+    read = snapshots.open_snapshot(spark, location)
+    parts = [
+        read.table(name).agg(F.count("*").alias("rows"), F.countDistinct("path").alias("paths")).select(F.lit(name).alias("name"), "rows", "paths")
+        for name in found
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def intake_param(spark, sf_dir):
+    """Page addresses as collections: as they are, on a store, as a store's root, as a local path, and blank."""
+    host = F.regexp_extract("url", "^[a-z]*://([^/]*)", 1)
+    turn = F.col("page_id") % 5
+    location = (
+        F.when(turn == 0, F.col("url"))
+        .when(turn == 1, F.regexp_replace("url", "^[a-z]*://", "S3A://"))
+        .when(turn == 2, F.concat(F.lit("hdfs://"), host, F.lit("/")))
+        .when(turn == 3, F.concat(F.lit("/data/"), host))
+        .otherwise(F.lit(" "))
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", location.alias("location"))
+    return collection.intake_verdicts(pages).select("page_id", "verdict")
+
+
+@query
+def output_guard(spark, sf_dir):
+    """An output for each page's host: beside it, the same by a detour, inside, around, and elsewhere."""
+    host = F.regexp_extract("url", "^[a-z]*://([^/]*)", 1)
+    root = F.concat(F.lit("/data/"), host)
+    outs = [
+        F.concat(root, F.lit("-out")),
+        F.concat(F.lit("/data/./x//../"), host, F.lit("/")),
+        F.concat(root, F.lit("/sub/../out")),
+        F.lit("/data/"),
+        F.concat(root, F.lit("/../../out")),
+    ]
+    out = F.element_at(F.array(*outs), (F.col("page_id") % 5 + 1).cast("int"))
+    pages = table(spark, sf_dir, "pages").where(host != "").select("page_id", root.alias("collection_root"), out.alias("out_root"))
+    return organize.output_verdicts(pages).select("page_id", "verdict")
+
+
 @query
 def rules_table_read(spark, sf_dir):
     """Rules from a stored table, with the files each one claims."""
@@ -864,9 +913,9 @@ def _copied(spark, sf_dir):
 
 
 def _dates(spark, sf_dir) -> DataFrame:
-    """Times of the copies on disk against those of the files they were made from."""
+    """Times of the copies on disk, as their folders list them, against those of the files they were made from."""
     manifest, plan, out, _ = _copied(spark, sf_dir)
-    found = collection.scan_collection(spark, out)
+    found = collection.list_inventory(spark, out)
     return stage(recon.date_fidelity(organize.crossref(plan), manifest, found), "dates")
 
 
@@ -968,6 +1017,17 @@ def classify_batch(spark, sf_dir):
     return _asked(spark, sf_dir)
 
 
+@query
+def classify_stored(spark, sf_dir):
+    """Answers kept by content: half of the files, then all of them, of which the model sees what is new."""
+    files, store = derived_files(spark, sf_dir), new_location(spark, "answers")
+    for some in (files.where("doc_id % 2 = 0"), files):
+        found = classify.classify_batch(
+            some, _language_model, LANGUAGES, text="body", hint=derived.language_hint(), store=store
+        )
+    return found
+
+
 @query
 def classify_keyword(spark, sf_dir):
     return _labelled(spark, sf_dir)
@@ -1007,6 +1067,21 @@ def full_run_figures(spark, sf_dir):
     return full_run.judge(d.manifest, CUSTODIAN_RULES, OUT, AS_OF, d.classifications, dates=dates).figures
 
 
+@query
+def full_run_collection(spark, sf_dir):
+    """The whole run on files: listed, hashed, read, classified, judged, copied three ways and reconciled."""
+    files = derived_files(spark, sf_dir)
+    hints = files.select("path", derived.language_hint().alias("hint"))
+    root = derived.write_collection(files)
+
+    def classifier(texts: DataFrame) -> DataFrame:
+        hinted = texts.join(hints, "path", "left")
+        return classify.classify_keyword(hinted, LANGUAGE_WORDS, hint=F.coalesce("hint", F.lit("")))
+
+    out = f"{root.rsplit('/', 1)[0]}-organized"
+    return full_run.full_run(spark, root, CUSTODIAN_RULES, out, AS_OF, classifier).figures
+
+
 @query
 def no_model_run(spark, sf_dir):
     """Without a classifier: rules, author and custodian axes only."""

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from ledgerfold import schemas
 from ledgerfold.functions.content import true_type
-from ledgerfold.functions.paths import file_name, manifest_path, suffix
+from ledgerfold.functions.paths import address_verdict, file_name, manifest_path, suffix
 from ledgerfold.sources import inventory
 from ledgerfold.sources.documents import as_file, document_author, document_text
 from ledgerfold.sources.inventory import AUTHORED
 from ledgerfold.sources.staging import stage
-from ledgerfold.sources.stores import birth_time_ns, canonical, is_link, open_store
+from ledgerfold.sources.stores import SCHEMES, birth_time_ns, canonical, is_link, open_store
 
 TASK_FILES = 10_000
 FOLDERS_PER_ROUND = 64
@@ -52,6 +52,26 @@ def resolve_collection(location: str) -> str:
     return root
 
 
+def intake_verdicts(addresses: DataFrame, column: str = "location") -> DataFrame:
+    """Rows with `verdict`: whether each address can be that of a collection, by its text alone."""
+    return addresses.withColumn("verdict", address_verdict(F.col(column), SCHEMES))
+
+
+def list_inventory(spark: SparkSession, location: str) -> DataFrame:
+    """(path, size_bytes, created, modified, collection_root) of a folder's files, from listings alone."""
+    root = resolve_collection(location)
+    name = root.rstrip("/").rsplit("/", 1)[-1]
+    return stage(
+        list_files(spark, root).select(
+            manifest_path(F.lit(name), F.col("inner_path")).alias("path"),
+            "size_bytes",
+            *[F.date_trunc("second", c).cast("timestamp_ntz").alias(c) for c in ("created", "modified")],
+            F.lit(root).alias("collection_root"),
+        ),
+        "listed",
+    )
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """All regular files below a root, hidden and empty ones too, listed in rounds.
 
