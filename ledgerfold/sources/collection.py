@@ -22,7 +22,7 @@ from ledgerfold import schemas
 from ledgerfold.functions.content import true_type
 from ledgerfold.functions.paths import address_verdict, file_name, manifest_path, suffix
 from ledgerfold.sources import inventory
-from ledgerfold.sources.documents import as_file, document_author, document_text
+from ledgerfold.sources.documents import Readers, as_file, document_author, document_text
 from ledgerfold.sources.inventory import AUTHORED
 from ledgerfold.sources.staging import stage
 from ledgerfold.sources.stores import SCHEMES, birth_time_ns, canonical, is_link, open_store
@@ -147,21 +147,26 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         tasks = max(min(width, waiting), -(-waiting // FOLDERS_PER_TASK), large)
 
 
-def read_inventory(spark: SparkSession, location: str, keep: Column | None = None) -> DataFrame:
+def read_inventory(
+    spark: SparkSession, location: str, keep: Column | None = None, readers: Readers | None = None
+) -> DataFrame:
     """The files of a collection with what their bytes tell, read when the rows are asked for.
 
     `keep` is a condition on inner_path, size_bytes, modified and created; other files are not opened.
+    `readers` read the authors of formats other than Word and Excel; see documents.py.
     """
     root = resolve_collection(location)
     listing = list_files(spark, root)
-    return inventory.read_listing(spark, root, listing if keep is None else listing.where(keep))
+    return inventory.read_listing(spark, root, listing if keep is None else listing.where(keep), readers=readers)
 
 
-def scan_collection(spark: SparkSession, location: str, keep: Column | None = None) -> DataFrame:
-    """The manifest of a folder: one row per file, staged so that bytes are read once; `keep` as above."""
+def scan_collection(
+    spark: SparkSession, location: str, keep: Column | None = None, readers: Readers | None = None
+) -> DataFrame:
+    """The manifest of a folder: one row per file, staged so that bytes are read once; the rest as above."""
     root = resolve_collection(location)
     name = root.rstrip("/").rsplit("/", 1)[-1]
-    read = read_inventory(spark, root, keep)
+    read = read_inventory(spark, root, keep, readers)
     file = file_name(F.col("inner_path"))
     manifest = read.select(
         manifest_path(F.lit(name), F.col("inner_path")).alias("path"),
@@ -181,13 +186,13 @@ def scan_collection(spark: SparkSession, location: str, keep: Column | None = No
 # --- text --------------------------------------------------------------------
 
 
-def _readable_type(df: DataFrame):
+def _readable_type(readers: Readers | None) -> Column:
     kind, ext = F.col("true_type"), F.lower("extension")
-    return kind.isin("text", "pdf") | ((kind == "zip") & ext.isin(".docx", ".xlsx"))
+    return kind.isin("text", *(readers or ())) | ((kind == "zip") & ext.isin(".docx", ".xlsx"))
 
 
-def _with_text(df: DataFrame, read) -> DataFrame:
-    """Add `text` by running `read` over rows of readable types only."""
+def _with_text(df: DataFrame, read, readable: Column) -> DataFrame:
+    """Add `text` by running `read` over the readable rows only."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "content")
     kept = [f.name for f in df.schema if f.name != "content"]
 
@@ -202,13 +207,16 @@ def _with_text(df: DataFrame, read) -> DataFrame:
                     yield rows.iloc[start:at][kept].assign(text=out)
                     start, size, out = at, 0, []
 
-    readable = F.coalesce(_readable_type(df), F.lit(False))
+    readable = F.coalesce(readable, F.lit(False))
     unread = df.where(~readable).drop("content").withColumn("text", F.lit(""))
     return df.where(readable).mapInPandas(texts, schema + ", text STRING").unionByName(unread)
 
 
-def extract_text(manifest: DataFrame) -> DataFrame:
-    """Manifest rows with the text of their files, read from the collection root."""
+def extract_text(manifest: DataFrame, readers: Readers | None = None) -> DataFrame:
+    """Manifest rows with the text of their files, read from the collection root.
+
+    `readers` read formats other than plain text, Word and Excel; see documents.py.
+    """
 
     opened = {}  # per task: one file system per root
 
@@ -218,31 +226,36 @@ def extract_text(manifest: DataFrame) -> DataFrame:
             opened[root] = open_store(root)
         store, base = opened[root]
         with store.open_input_file(f"{base}/{row.path.split('/', 1)[1]}") as data:
-            return document_text(data, row.true_type, row.extension)
+            return document_text(data, row.true_type, row.extension, readers)
 
-    return _with_text(manifest, read)
+    return _with_text(manifest, read, _readable_type(readers))
 
 
-def extract_text_from_content(files: DataFrame) -> DataFrame:
-    """As extract_text(), for rows that hold the bytes in a `content` column."""
-    return _with_text(
-        files, lambda row: document_text(as_file(row.content), row.true_type, row.extension)
+def extract_text_from_content(files: DataFrame, readers: Readers | None = None) -> DataFrame:
+    """As extract_text(), for rows that hold the bytes in a `content` column; plain text stays in the JVM."""
+    plain = F.coalesce(F.col("true_type") == "text", F.lit(False))
+    told = files.where(plain).withColumn("text", F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")))
+    rest = _with_text(
+        files.where(~plain),
+        lambda row: document_text(as_file(row.content), row.true_type, row.extension, readers),
+        _readable_type(readers),
     )
+    return told.withColumn("text", F.coalesce("text", F.lit(""))).drop("content").unionByName(rest)
 
 
-def extract_author_from_content(files: DataFrame) -> DataFrame:
+def extract_author_from_content(files: DataFrame, readers: Readers | None = None) -> DataFrame:
     """Rows (path, extension, content) -> (path, author); other formats never leave the JVM."""
     ext = F.lower("extension")
 
     def authors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             found = [
-                document_author(as_file(c), e) for c, e in zip(rows["content"], rows["extension"])
+                document_author(as_file(c), e, readers) for c, e in zip(rows["content"], rows["extension"])
             ]
             yield pd.DataFrame({"path": rows["path"], "author": found})
 
     slim = files.select("path", "extension", "content")
-    able = F.coalesce(ext.isin(*AUTHORED), F.lit(False))
+    able = F.coalesce(ext.isin(*AUTHORED, *[f".{kind}" for kind in readers or ()]), F.lit(False))
     rest = slim.where(~able).select("path", F.lit(document_author(None, "")).alias("author"))
     return slim.where(able).mapInPandas(authors, "path STRING, author STRING").unionByName(rest)
 

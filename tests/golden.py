@@ -136,6 +136,18 @@ def pdf(text: str, author: str | None) -> bytes:
     )
 
 
+def read_pdf(data) -> tuple[str, str | None]:
+    """Text and author of a PDF that pdf() has made; stands for the reader a user brings."""
+    raw = data.read()
+    stream = zlib.decompress(raw.split(b"stream\n", 1)[1].split(b"\nendstream", 1)[0]).decode("latin-1")
+    lines = [part.rsplit(")Tj", 1)[0] for part in stream.split("14 TL (", 1)[1].split(" T* (")]
+    author = raw.split(b"/Author (", 1)[1].split(b")", 1)[0].decode()
+    return "\n".join(lines).replace("\\(", "(").replace("\\)", ")"), author
+
+
+READERS = {"pdf": read_pdf}
+
+
 def png(shade: int) -> bytes:
     def chunk(kind: bytes, data: bytes) -> bytes:
         return len(data).to_bytes(4, "big") + kind + data + zlib.crc32(kind + data).to_bytes(4, "big")

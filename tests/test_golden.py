@@ -43,7 +43,7 @@ def golden_run(spark, tmp_path_factory):
     root = golden.build(home)
     before = hashes(root)
     run = full_run(
-        spark, root, golden.RULES, str(home / "organized"), AS_OF, lambda t: classify_batch(t, model)
+        spark, root, golden.RULES, str(home / "organized"), AS_OF, lambda t: classify_batch(t, model), readers=golden.READERS
     )
     assert hashes(root) == before, "originals were touched"
     return run, root, str(home / "organized")
@@ -222,14 +222,14 @@ def test_unreachable_model_stops_the_run(spark, golden_run):
     def down(texts):
         raise ModelUnavailable("no model")
 
-    texts = collection.extract_text(run.manifest)
+    texts = collection.extract_text(run.manifest, golden.READERS)
     with pytest.raises(Exception, match="no model"):
         classify_batch(texts, down).collect()
 
 
 def test_a_single_failure_is_a_row(spark, golden_run):
     run, *_ = golden_run
-    texts = collection.extract_text(run.manifest)
+    texts = collection.extract_text(run.manifest, golden.READERS)
     labels = classify_batch(texts, lambda batch: [KeyError("x") for _ in batch])
     statuses = Counter((r.status, r.reason) for r in labels.collect())
     assert statuses["model_error", "model call failed: KeyError"] == 32
@@ -237,7 +237,7 @@ def test_a_single_failure_is_a_row(spark, golden_run):
 
 def test_model_sees_text_only(spark, golden_run):
     run, *_ = golden_run
-    plan = classify_batch(collection.extract_text(run.manifest), model)
+    plan = classify_batch(collection.extract_text(run.manifest, golden.READERS), model)
     python = [
         line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines()
         if "ArrowEvalPython" in line

@@ -197,8 +197,20 @@ def test_text_by_true_type():
     assert document_text(as_file(_package(".docx", words, "A")), "zip", ".zip") == ""
     assert document_text(as_file(b"PK\x03\x04broken"), "zip", ".docx") == ""
     assert document_text(as_file(b"\x89PNG"), "png", ".txt") == ""
-    assert document_text(as_file(golden.pdf("One (1)\nTwo", "A")), "pdf", ".pdf") == "One (1)\nTwo"
-    assert document_text(as_file(b"%PDF-1.4 /Type0"), "pdf", ".pdf") == ""
+    assert document_text(as_file(golden.pdf("One (1)\nTwo", "A")), "pdf", ".pdf", golden.READERS) == "One (1)\nTwo"
+    assert document_text(as_file(golden.pdf("One", "A")), "pdf", ".pdf") == ""
+    assert document_text(as_file(b"%PDF-1.4 broken"), "pdf", ".pdf", golden.READERS) == ""
+
+
+def test_texts_of_contents(spark):
+    rows = [("c/a", ".txt", "text", "héllo".encode()), ("c/b", ".txt", "text", b"\xff\xfe"), ("c/c", ".pdf", "pdf", golden.pdf("One", "Bo")),
+            ("c/d", ".docx", "zip", _package(".docx", "w x", "Ann")), ("c/e", None, None, b"x"), ("c/f", ".png", "png", b"\x89PNG"), ("c/g", ".txt", "text", None)]
+    files = spark.createDataFrame(rows, "path string, extension string, true_type string, content binary")
+    texts = {r.path: r.text for r in collection.extract_text_from_content(files, golden.READERS).collect()}
+    assert texts == {"c/a": "héllo", "c/b": "", "c/c": "One", "c/d": "w x", "c/e": "", "c/f": "", "c/g": ""}
+    assert {r.text for r in collection.extract_text_from_content(files).where("path = 'c/c'").collect()} == {""}
+    authors = {r.path: r.author for r in collection.extract_author_from_content(files.where("path < 'c/g'"), golden.READERS).collect()}
+    assert authors["c/c"] == "Bo" and authors["c/d"] == "Ann" and authors["c/a"] == "Unassigned"
 
 
 def test_sheet_cells():
@@ -227,8 +239,9 @@ def test_sheet_cells():
 def test_author_by_extension():
     assert document_author(as_file(_package(".docx", "x", " Ann ")), ".DOCX") == "Ann"
     assert document_author(as_file(_package(".xlsx", "x", "")), ".xlsx") == "Unassigned"
-    assert document_author(as_file(golden.pdf("x", "Bo")), ".pdf") == "Bo"
-    assert document_author(as_file(b"plain text"), ".pdf") == "Unassigned"
+    assert document_author(as_file(golden.pdf("x", "Bo")), ".pdf", golden.READERS) == "Bo"
+    assert document_author(as_file(golden.pdf("x", "Bo")), ".pdf") == "Unassigned"
+    assert document_author(as_file(b"plain text"), ".pdf", golden.READERS) == "Unassigned"
     assert document_author(as_file(_package(".docx", "x", "Ann")), ".zip") == "Unassigned"
 
 
