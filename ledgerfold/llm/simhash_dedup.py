@@ -8,10 +8,15 @@ points are then routed, whatever their number: each to its own shard, and as a q
 shard that the triangle bound leaves open (a shell from lo to hi can hold a partner of a
 point at distance d only if lo - 3 <= d <= hi + 3). So each pair meets in exactly one shard.
 
-A shard is searched the same way in memory: blocks of points split by vantage points until a
+A late shard is open to most points. Its own points and its queries are therefore cut into pieces of
+about SHARD points by a hash, sized from the routes of the sample, and every piece of own points
+meets every later piece of the shard in a cell of its own. So a task compares two pieces, whatever
+the number of points, and each pair still meets once.
+
+A cell is searched the same way in memory: blocks of points split by vantage points until a
 comparison of all pairs is cheap; what remains is compared exactly. Of the pairs found only links that
 join new points are given out, so a dense group of m points gives fewer than m of them a
-shard, not m * m. Components are then found by joins, without a list on the driver.
+cell, not m * m. Components are then found by joins, without a list on the driver.
 
 Random fingerprints lie near distance 32 from any vantage point, so a level with shells of one
 distance leaves about half of the pairs; the pruning is exact, the search more
@@ -154,7 +159,38 @@ def route(tree: Tree, points: np.ndarray, radius: int = RADIUS) -> tuple[np.ndar
     return which[kept], shard[kept], own[kept]
 
 
-# --- pairs within a shard -------------------------------------------------------------------------------------
+def pieces(tree: Tree, sample: np.ndarray, total: int, piece: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+    """For every shard the numbers of pieces of its own points and of its queries, estimated from the sample."""
+    _, shard, own = route(tree, sample)
+    share = max(1.0, total / max(1, len(sample)))
+    shards = int(shard.max(initial=0)) + 1
+    sizes = [np.bincount(shard[mask], minlength=shards) * share for mask in (own, ~own)]
+    return tuple(np.maximum(1, np.ceil(size / piece)).astype(np.int64) for size in sizes)
+
+
+def deal(
+    tree: Tree, homes: np.ndarray, queries: np.ndarray, points: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the point, shard, left piece, right piece, whether it is the left one's) for every cell a point goes to.
+
+    A shard's pieces are its own ones, then those of its queries; cells are pairs of an own piece and
+    itself or a later one.
+    """
+    which, shard, own = route(tree, points)
+    # A shard no point of the sample has come to is of one piece.
+    known = np.minimum(shard, len(homes) - 1)
+    mine = np.where(shard < len(homes), homes[known], 1)
+    others = np.where(shard < len(homes), queries[known], 1)
+    mixed = (points[which] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    piece = (mixed % np.where(own, mine, others).astype(np.uint64)).astype(np.int64) + np.where(own, 0, mine)
+    cells = np.where(own, mine + others, mine)
+    row = np.repeat(np.arange(len(which)), cells)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells)
+    here = piece[row]
+    return which[row], shard[row], np.minimum(here, other), np.maximum(here, other), here <= other
+
+
+# --- pairs within a cell --------------------------------------------------------------------------------------
 
 
 class Links:
@@ -173,8 +209,8 @@ class Links:
                 self.root = self.root[self.root]
 
 
-def link_close(points: np.ndarray, own: np.ndarray, links: Links, radius: int = RADIUS) -> None:
-    """Adds every pair within the radius that has an own point."""
+def link_close(points: np.ndarray, left: np.ndarray, links: Links, radius: int = RADIUS) -> None:
+    """Adds every pair within the radius of a left and another point; where all are left, of any two."""
 
     def compare(a: np.ndarray, b: np.ndarray) -> None:
         rows = max(1, BLOCK // max(1, len(b)))
@@ -205,15 +241,18 @@ def link_close(points: np.ndarray, own: np.ndarray, links: Links, radius: int =
             within(a[far == at], left - 1)
             across(a[far == at], a[(far > at) & (far <= at + radius)], left - 1)
 
-    homes, queries = np.flatnonzero(own), np.flatnonzero(~own)
-    within(homes, 8)
-    across(homes, queries, 8)
+    if left.all():
+        within(np.arange(len(points)), 8)
+    else:
+        across(np.flatnonzero(left), np.flatnonzero(~left), 8)
 
 
-def _shard_links(shard: pd.DataFrame) -> pd.DataFrame:
-    points = shard["point"].to_numpy(np.int64).view(np.uint64)
-    links = Links(len(points))
-    link_close(points, shard["own"].to_numpy(bool), links)
+def _cell_links(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
+    points = cell["point"].to_numpy(np.int64).view(np.uint64)
+    links, left = Links(len(points)), cell["first"].to_numpy(bool)
+    # Without a right piece there is nothing to compare, but in the cell of a piece and itself.
+    if key[1] == key[2] or not left.all():
+        link_close(points, left, links)
     joined = np.flatnonzero(links.root != np.arange(len(points)))
     signed = points.view(np.int64)
     return pd.DataFrame({"a": signed[links.root[joined]], "b": signed[joined]})
@@ -223,20 +262,23 @@ def close_links(points: DataFrame) -> DataFrame:
     """Links (a, b) that join all distinct points within the radius of each other, no pair left out of a component."""
     total = points.count()
     sample = points.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).collect()
-    tree = build_tree(np.array([row.point for row in sample], np.int64).view(np.uint64), total)
+    sampled = np.array([row.point for row in sample], np.int64).view(np.uint64)
+    tree = build_tree(sampled, total)
+    homes, queries = pieces(tree, sampled, total)
 
-    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             signed = batch.column(0).to_numpy()
-            which, shard, own = route(tree, signed.view(np.uint64))
+            which, shard, left, right, first = deal(tree, homes, queries, signed.view(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.astype(np.int64)), pa.array(signed[which]), pa.array(own)], names=["shard", "point", "own"]
+                [pa.array(shard.astype(np.int64)), pa.array(left), pa.array(right), pa.array(signed[which]), pa.array(first)],
+                names=["shard", "l", "r", "point", "first"],
             )
 
-    routed = points.select("point").mapInArrow(to_shards, "shard long, point long, own boolean")
-    return routed.groupBy("shard").applyInPandas(_shard_links, "a long, b long")
+    dealt = points.select("point").mapInArrow(to_cells, "shard long, l long, r long, point long, first boolean")
+    return dealt.groupBy("shard", "l", "r").applyInPandas(_cell_links, "a long, b long")
 
 
 # --- documents ------------------------------------------------------------------------------------------------

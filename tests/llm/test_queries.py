@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -183,24 +184,45 @@ def test_codec_on_hard_texts():
         assert mine.decode(ids).decode() == text
 
 
-def test_shards_lose_no_pair():
-    rng = np.random.default_rng(5)
-    seeds = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
-    near = [s ^ np.uint64(1 << int(b)) ^ np.uint64(1 << int(c)) for s in seeds[:800] for b, c in [rng.integers(0, 64, 2)]]
-    points = np.unique(np.concatenate([seeds, np.array(near, np.uint64)]))
-    tree = simhash_dedup.build_tree(points[::3], len(points), shard=150)
-    which, shard, own = simhash_dedup.route(tree, points)
-    assert np.array_equal(np.sort(which[own]), np.arange(len(points))) and len(set(shard)) > 5
-    links = simhash_dedup.Links(len(points))
-    for s in set(shard):
-        here = which[shard == s]
-        local = simhash_dedup.Links(len(here))
-        simhash_dedup.link_close(points[here], own[shard == s], local)
-        joined = np.flatnonzero(local.root != np.arange(len(here)))
-        links.add(here[local.root[joined]], here[joined])
+def near_points(seed, n, near):
+    rng = np.random.default_rng(seed)
+    seeds = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    moved = [s ^ np.uint64(1 << int(b)) ^ np.uint64(1 << int(c)) for s in seeds[:near] for b, c in [rng.integers(0, 64, 2)]]
+    return np.unique(np.concatenate([seeds, np.array(moved, np.uint64)]))
+
+
+@pytest.mark.parametrize("shard, piece", [(150, 10_000), (150, 60), (10_000, 500), (40, 7)])
+def test_cells_lose_no_pair(shard, piece):
+    points = near_points(5, 3000, 800)
+    tree = simhash_dedup.build_tree(points[::3], len(points), shard=shard)
+    which, shards, own = simhash_dedup.route(tree, points)
+    assert np.array_equal(np.sort(which[own]), np.arange(len(points)))
+    homes, queries = simhash_dedup.pieces(tree, points[::3], len(points), piece)
+    which, shards, left, right, first = simhash_dedup.deal(tree, homes, queries, points)
+    links, sizes = simhash_dedup.Links(len(points)), []
+    for cell in sorted(set(zip(shards.tolist(), left.tolist(), right.tolist()))):
+        here = (shards == cell[0]) & (left == cell[1]) & (right == cell[2])
+        frame = pd.DataFrame({"point": points[which[here]].view(np.int64), "first": first[here]})
+        found = simhash_dedup._cell_links(cell, frame)
+        a, b = (np.searchsorted(points, found[c].to_numpy(np.int64).view(np.uint64)) for c in "ab")
+        links.add(a, b)
+        sizes.append(int(here.sum()))
     assert links.root.tolist() == plain_components(points)
-
-
+    # A cell holds two pieces, which are of about `piece` points; small ones vary more.
+    assert max(sizes) <= 2 * piece + 8 * piece**0.5 + 10
+
+
+def test_cells_stay_bounded_at_a_million_points():
+    rng = np.random.default_rng(9)
+    points = rng.integers(0, 1 << 64, 1_000_000, dtype=np.uint64)
+    tree = simhash_dedup.build_tree(points[: simhash_dedup.SAMPLE], len(points))
+    homes, queries = simhash_dedup.pieces(tree, points[: simhash_dedup.SAMPLE], len(points))
+    _, routed, _ = simhash_dedup.route(tree, points)
+    _, shard, left, right, _ = simhash_dedup.deal(tree, homes, queries, points)
+    _, sizes = np.unique(np.stack([shard, left, right]), axis=1, return_counts=True)
+    assert np.bincount(routed).max() > 200_000  # what one shard would have held
+    assert sizes.max() <= 2.2 * simhash_dedup.SHARD
+    assert len(shard) <= 20 * len(points)
 
 
 def learnable(sf, per_language=400):
