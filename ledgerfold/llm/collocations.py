@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.texts import LOWER, UPPER, as_bytes, pieces
+from ledgerfold.operators.numbering import number_rows
 from ledgerfold.operators.skew import attach_groups
 from ledgerfold.sources.staging import stage
 
@@ -143,8 +144,8 @@ class Batch:
         words, spelt = self.numbered()
         own = np.fromiter((xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()), np.uint64, len(spelt))
         at = np.flatnonzero(words)
-        hashes = np.zeros(len(words), np.uint64)
-        hashes[at] = _grown(np.full(len(at), _seed(self.lang)), own[words[at]])
+        single = _grown(np.full(len(own), _seed(self.lang)), own)
+        hashes = single[words]
         if 1 in sizes and not done:
             counts = np.bincount(words[at], minlength=len(spelt))
             yield self._rows(pa.array([b""], pa.large_binary()), 0, np.array([len(at)]))
@@ -157,7 +158,12 @@ class Batch:
             # The parts without the last and without the first word.
             short, rest = hashes[at], hashes[at + 1]
             for n, field in enumerate(fields):
-                held = lets[n][at] & lets[n][at + 1] & field.holds(short) & field.holds(rest)
+                if size == 2:
+                    # Asked once for each word that occurs, not for each place.
+                    member_word = field.holds(single)
+                    held = member_word[words[at]] & member_word[words[at + 1]]
+                else:
+                    held = lets[n][at] & lets[n][at + 1] & field.holds(short) & field.holds(rest)
                 lets[n] = np.zeros(len(words), bool)
                 lets[n][at] = held
             if member:
@@ -253,8 +259,8 @@ def word_numbers(proposed: DataFrame) -> DataFrame | None:
     words = proposed.where("size = 1")
     if words.limit(PAIRED_WORDS + 1).count() > PAIRED_WORDS:
         return None
-    order = Window.orderBy("lang", "phrase")  # of at most PAIRED_WORDS rows
-    return stage(words.select("lang", "phrase", (F.row_number().over(order) - 1).alias("number")), "word-numbers")
+    numbered = number_rows(words.select("lang", "phrase"), [F.col("lang"), F.col("phrase")], "number")
+    return stage(numbered.withColumn("number", F.col("number") - 1), "word-numbers")
 
 
 def count_pairs(docs: DataFrame, numbers: DataFrame, known: dict[str, pa.Array], min_count: int) -> DataFrame:
