@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -366,3 +367,48 @@ def planted_date_check(seeded: DataFrame, manifest: DataFrame, as_of: dt.date) -
         F.date_format("modified", "yyyy-MM-dd").alias("modified"),
         F.when(out_of_range(day, as_of), "intact").otherwise("lost").alias("verdict"),
     )
+
+# --- all gates at once -------------------------------------------------------
+
+
+def run_gates(
+    manifest: DataFrame,
+    findings: DataFrame,
+    classifications: DataFrame,
+    seeded: DataFrame,
+    truth: DataFrame,
+    as_of: dt.date,
+    labels: tuple[str, ...] = LABELS,
+    floor: float = CONFIDENCE_FLOOR,
+    accuracy: float = 0.9,
+) -> DataFrame:
+    """(gate, problems, verdict) of every gate that needs the tables of a run and its answer key.
+
+    A gate is `passed` where it finds no problem. `labels`, `floor` and `accuracy` are what the
+    classifier was asked to keep to; accuracy is the share of accepted labels.
+    """
+    n = F.count("*")
+    lost = F.col("verdict") != "intact"
+    problems = {
+        "planted errors caught": absence_check(seeded, findings).agg(n),
+        "nothing flagged by mistake": false_positive_check(seeded, findings).agg(n),
+        "every file classified once": coverage_check(manifest, classifications, "path").select(
+            F.col("missing") + F.col("phantom") + F.col("repeated")
+        ),
+        "labels accepted": accuracy_check(truth, classifications).select(
+            F.when(F.col("hits") >= F.col("scored") * accuracy, 0).otherwise(F.col("scored") - F.col("hits"))
+        ),
+        "nothing guessed or dropped": no_guess_check(truth, classifications).agg(n),
+        "classifier findings derived again": rule_recompute_check(classifications, findings, floor).agg(n),
+        "values inside their domains": domain_check(manifest, findings, classifications, labels).agg(
+            F.coalesce(F.sum("violations"), F.lit(0))
+        ),
+        "paths unique": key_uniqueness(manifest, ["path"]).agg(n),
+        "planted dates intact": planted_date_check(seeded, manifest, as_of).where(lost).agg(n),
+    }
+    rows = [
+        counted.toDF("problems").select(F.lit(gate).alias("gate"), F.col("problems").cast("bigint").alias("problems"))
+        for gate, counted in problems.items()
+    ]
+    verdict = F.when(F.col("problems") == 0, "passed").otherwise("FAILED")
+    return reduce(DataFrame.unionByName, rows).withColumn("verdict", verdict)

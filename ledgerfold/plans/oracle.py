@@ -304,6 +304,21 @@ judged AS (SELECT path, name, chars, folder_hint,
       WHEN 'off' THEN 'model returned invalid label ''klingon''' ELSE reason END AS reason FROM asked)"""
 
 
+# What is put in front of a document's text, and its name, by its number.
+_BINARY = """WITH odd AS (SELECT *, 'corpus/' || doc_id || '/' || name AS path,
+    CAST(CASE WHEN kind = 11 THEN 0 ELSE strlen(coalesce(text, '')) + 2 + front END AS BIGINT) AS size_bytes
+  FROM (SELECT doc_id, text, doc_id % 12 AS kind,
+    ['pdf', 'png', 'jpg', 'zip', 'ole', 'gif', 'gif', 'unknown', 'unknown', 'text', 'text', 'empty'][doc_id % 12 + 1] AS true_type,
+    [8, 8, 3, 4, 4, 6, 6, 2, 4, 0, 2049, 0][doc_id % 12 + 1] AS front,
+    ['.hidden', 'a' || chr(160) || 'b.PDF', 'x.docx', 'Scan_12.png', '.DS_Store', 'name.', 'c' || chr(12288) || 'd.jpg'][doc_id % 7 + 1] AS name,
+    ['', '.PDF', '.docx', '.png', '', '', '.jpg'][doc_id % 7 + 1] AS extension,
+    ['', 'pdf', 'zip', 'png', '', '', 'jpg'][doc_id % 7 + 1] AS want,
+    ['.hidden', 'a' || chr(160) || 'b', 'x', 'scan_12', '.ds_store', 'name.', 'c' || chr(12288) || 'd'][doc_id % 7 + 1] AS stem,
+    ['', 'contains spaces; non-lowercase extension ''.PDF''', '', 'scanner-default name (no document identity)', '', '', 'contains spaces'][doc_id % 7 + 1] AS reasons
+  FROM documents))
+"""
+
+
 def all_sql() -> dict[str, str]:
     sql = {
         # scalar projections
@@ -486,6 +501,20 @@ def all_sql() -> dict[str, str]:
           WHERE (position - 1) % greatest(1, n // 8) = 0 AND position - 1 < 8 * greatest(1, n // 8)"""),
         "planted_date_check": _dm("""SELECT path, strftime(modified, '%Y-%m-%d') AS modified, 'intact' AS verdict FROM dm
           WHERE doc_id % 101 = 0 OR doc_id % 103 = 0"""),
+        "run_gates": _everything("""SELECT gate, problems, CASE WHEN problems = 0 THEN 'passed' ELSE 'FAILED' END AS verdict FROM (
+            SELECT 'planted errors caught' AS gate, (SELECT count(*) FROM seeded s WHERE NOT EXISTS
+              (SELECT 1 FROM found f WHERE f.path = s.path AND f.rule_id = s.rule_id)) AS problems
+            UNION ALL SELECT 'nothing flagged by mistake', (SELECT count(DISTINCT path) FROM found WHERE path NOT IN (SELECT path FROM seeded))
+            UNION ALL SELECT 'labels accepted', (SELECT count(*) FILTER (NOT list_contains(accepted, label)) FROM truth JOIN cls USING (path) WHERE accepted IS NOT NULL)
+            UNION ALL SELECT 'nothing guessed or dropped', (SELECT count(*) FROM truth JOIN cls USING (path) WHERE (accepted IS NULL) = (label <> 'unclassified'))
+            UNION ALL SELECT 'values inside their domains', (SELECT count(*) FROM cls WHERE label = 'es') + (SELECT count(*) FROM found WHERE trim(detail) = '')
+            UNION ALL SELECT gate, 0 FROM (VALUES ('every file classified once'), ('classifier findings derived again'), ('paths unique'), ('planted dates intact')) v(gate))"""),
+        "binary_types": _BINARY + "SELECT path, extension, true_type, size_bytes, stem FROM odd",
+        "binary_findings": _BINARY + f"""SELECT path, name, 'EXT_MISMATCH' AS rule_id, '{RULE_SEVERITY["EXT_MISMATCH"]}' AS severity,
+              'extension ''' || lower(extension) || ''' but content is ''' || true_type || '''' AS detail FROM odd
+            WHERE true_type NOT IN ('empty', 'unknown') AND want <> '' AND true_type <> want
+          UNION ALL SELECT path, name, 'ZERO_BYTE', '{RULE_SEVERITY["ZERO_BYTE"]}', 'file is empty (0 bytes)' FROM odd WHERE true_type = 'empty'
+          UNION ALL SELECT path, name, 'NAMING', '{RULE_SEVERITY["NAMING"]}', reasons FROM odd WHERE reasons <> '' AND lower(name) <> '.ds_store'""",
         # sources and sinks
         "file_inventory": _dm("""SELECT path, name, extension, true_type, size_bytes, sha256,
           strftime(modified, '%Y-%m-%dT00:00:00') AS modified, 'Unassigned' AS author FROM dm"""),

@@ -743,12 +743,59 @@ def determinism_sample(spark, sf_dir):
     return gates.determinism_check(sample, again)
 
 
+@query
+def run_gates(spark, sf_dir):
+    """All gates of a run in one table; the classifier is judged without Spanish among its labels."""
+    d = Derived(spark, sf_dir)
+    return gates.run_gates(
+        d.manifest, _findings(d), d.classifications, d.seeded, d.truth, AS_OF, ("de", "en", "fr", "other"), accuracy=1.0
+    )
+
+
 @query
 def planted_date_check(spark, sf_dir):
     d = Derived(spark, sf_dir, labels=False)
     return gates.planted_date_check(d.seeded, d.manifest, AS_OF)
 
 
+# --- binary heads and odd names ----------------------------------------------
+
+# Beginnings in hex: signatures, broken text, a signature cut short, none, and a character the head's end cuts; null: an empty file.
+_HEADS = (
+    "255044462D312E34", "89504E470D0A1A0A", "FFD8FF", "504B0304", "D0CF11E0", "474946383761", "474946383961", "C328", "89504E47",
+    "", "61" * 2047 + "C3A9", None,
+)
+_ODD_NAMES = (".hidden", "a\u00a0b.PDF", "x.docx", "Scan_12.png", ".DS_Store", "name.", "c\u3000d.jpg")
+
+
+def _binary_files(spark, sf_dir) -> DataFrame:
+    """Every document as a file whose first bytes and whose name follow from its number."""
+    head = F.element_at(F.array(*[F.lit(h) for h in _HEADS]), (F.col("doc_id") % 12 + 1).cast("int"))
+    name = F.element_at(F.array(*[F.lit(n) for n in _ODD_NAMES]), (F.col("doc_id") % 7 + 1).cast("int"))
+    text = F.when(head.isNull(), "").otherwise(F.concat(F.lit(" t"), F.coalesce("text", F.lit(""))))
+    body = F.concat(F.unhex(F.coalesce(head, F.lit(""))), text.cast("binary"))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("corpus/"), "doc_id", F.lit("/"), name).alias("path"),
+        name.alias("name"),
+        paths.suffix(name).alias("extension"),
+        content.true_type(body).alias("true_type"),
+        F.octet_length(body).cast("bigint").alias("size_bytes"),
+        F.lit(None).cast("timestamp_ntz").alias("modified"),
+    )
+
+
+@query
+def binary_types(spark, sf_dir):
+    files = _binary_files(spark, sf_dir)
+    return files.select("path", "extension", "true_type", "size_bytes", names.normalized_stem(F.col("name")).alias("stem"))
+
+
+@query
+def binary_findings(spark, sf_dir):
+    """What the row rules find in binary files with odd names."""
+    return rules.file_findings(_binary_files(spark, sf_dir), AS_OF, ("EXT_MISMATCH", "ZERO_BYTE", "NAMING"))
+
+
 # --- sources and sinks -------------------------------------------------------
 
 
