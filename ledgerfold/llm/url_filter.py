@@ -1,15 +1,15 @@
 """URL filters: rules for a host, its subdomains and the paths that start with a prefix.
 
-A URL is expanded into expressions, one for each shape that some rule has: its last n host
-labels and its first m path characters. Expressions and rules meet in an equi-join on a short
-prefix of their digests; the full digests confirm a pair, and of the rules that fit
-a URL the longest decides.
+A URL is expanded twice. First into the suffixes of its host, which meet the rules' hosts in an
+equi-join on a short prefix of their digests; a host brings the set of path lengths its rules have.
+Then each suffix that is some rule's host is expanded into the path prefixes of these lengths, which
+meet the rules in the same way. The full digests confirm a pair, and of the rules that fit a URL
+the longest decides. So a URL costs a digest for each of its host labels, and one for each
+length of a path that a rule of its own hosts has, whatever the number of rules and of their shapes.
 
-The shapes (label counts and prefix lengths of rules) are the only thing read to the
-driver; they are bounded by the longest host times the longest path a rule may have, whatever the
-number of rules. Whether the rules are broadcast is left to Spark, which knows their
-size. Expanded rows of one URL are next to each other, so they are combined
-before the one shuffle.
+One number of the rules is read to the driver, the most labels a host has; whether they are broadcast is left to Spark, which knows
+their size. A host's set holds at most as many lengths as the longest path of a rule has characters.
+Expanded rows of one URL are next to each other, so they are combined before the one shuffle.
 
 Defined results: a null URL and one without `://` have an empty host and path; the longest
 rule is the one with most characters of host and path, then of host; between equal ones block
@@ -46,8 +46,9 @@ def _digest(host: Column, path: Column) -> Column:
 
 
 def url_rules(rules: DataFrame) -> DataFrame:
-    """(host, path, verdict) rows with their shape, digest and precedence; rules with nulls fit nothing."""
+    """(host, path, verdict) rows with their digests and precedence; rules with nulls fit nothing."""
     return rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").select(
+        F.sha2("host", 256).alias("rule_host"),
         _labels("host").alias("rule_labels"),
         F.length("path").alias("rule_length"),
         _digest(F.col("host"), F.col("path")).alias("rule_digest"),
@@ -65,16 +66,11 @@ def url_rules(rules: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """The rows of pages with host, path, rule (null: none fits) and verdict."""
     known = url_rules(rules)
-    shapes = [tuple(row) for row in known.select("rule_labels", "rule_length").distinct().collect()]
-    expressions = F.array(
-        *[
-            F.when(
-                (F.col("labels") >= n) & (F.length("path") >= m),
-                _digest(F.substring_index("host", ".", -n), F.substring("path", 1, m)),
-            )
-            for n, m in sorted(shapes)
-        ]
-    ).cast("array<string>")
+    hosts = known.groupBy("rule_host").agg(F.collect_set("rule_length").alias("lengths"))
+    hosts = hosts.withColumn("host_short", F.substring("rule_host", 1, SHORT))
+    # No more labels than the longest host of a rule has.
+    most = max(1, known.agg(F.max("rule_labels")).first()[0] or 1)
+    suffixes = F.expr(f"transform(sequence(1, least(labels, {most})), n -> substring_index(host, '.', -n))")
     rows = (
         pages.select(
             F.struct("*").alias("page"),
@@ -84,11 +80,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
             url_path(F.col(url_col)).alias("path"),
         )
         .withColumn("labels", _labels("host"))
-        .withColumn("digest", F.explode_outer(F.array_distinct(F.array_compact(expressions))))
+        .withColumn("suffix", F.explode(F.array_distinct(suffixes)))
+        .withColumn("digest", F.sha2("suffix", 256))
         .withColumn("short", F.substring("digest", 1, SHORT))
     )
-    met = rows.join(
-        known, (F.col("short") == F.col("rule_short")) & (F.col("digest") == F.col("rule_digest")), "left"
+    found = rows.join(
+        hosts, (F.col("short") == F.col("host_short")) & (F.col("digest") == F.col("rule_host")), "left"
+    ).select("page", "row", "host", "path", "suffix", "lengths")
+    fitting = F.filter("lengths", lambda m: m <= F.length("path"))
+    expanded = (
+        found.withColumn("length", F.explode_outer(fitting))
+        .withColumn("digest", _digest(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("length"))))
+        .withColumn("short", F.substring("digest", 1, SHORT))
+        .select("page", "row", "host", "path", "digest", "short")
+    )
+    met = expanded.join(
+        known.select("rule_digest", "rule_short", "precedence"),
+        (F.col("short") == F.col("rule_short")) & (F.col("digest") == F.col("rule_digest")),
+        "left",
     )
     judged = met.groupBy("row").agg(
         F.first("page").alias("page"),

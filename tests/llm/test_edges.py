@@ -119,6 +119,28 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages, rules).columns == ["page_id", "url", "host", "path", "rule", "verdict"]
 
 
+def test_urls_against_plain_python(spark):
+    """Rules of very many shapes: lengths of paths and numbers of labels."""
+    import random
+
+    rng = random.Random(3)
+    part = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    hosts = [".".join(part(1) for _ in range(rng.randrange(1, 6))) for _ in range(60)] + ["", "x..a", "."]
+    rules = [(rng.choice(hosts), "/" * rng.randrange(2) + part(rng.randrange(40)), rng.choice(["block", "allow"])) for _ in range(3000)]
+    urls = [f"H://{rng.choice(hosts)}/{part(rng.randrange(50))}" for _ in range(400)] + ["x://a", "x://", None, "://.a./b"]
+    pages = spark.createDataFrame([(n, u) for n, u in enumerate(urls)], "page_id long, url string").repartition(3)
+    found = url_filter.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    for r in found.collect():
+        fits = [
+            (len(h + p), len(h), v == "block", h + p, v)
+            for h, p, v in rules
+            if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)
+        ]
+        best = max(fits, default=None)
+        assert (r.rule, r.verdict) == ((best[3], best[4]) if best else (None, "allow")), r
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_languages(docs, none, spark):
     model = language_id.learn(docs)
     found = language_id.identify(spark, docs, model).collect()
