@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from ledgerfold.constants import (
     ARCHIVE_DETAIL,
     ARCHIVE_EXTENSIONS,
+    CLASS_CONFLICT_DETAIL,
     CLASSIFIER_RULES,
     CONFIDENCE_FLOOR,
+    DATE_ANOMALY_DETAIL,
+    DEEP_NESTING_DETAIL,
     EARLIEST_YEAR,
     EXACT_DUP_INTRO,
+    EXT_MISMATCH_DETAIL,
     JUNK_DETAIL,
+    LOW_CONFIDENCE_DETAIL,
     MAX_FOLDER_DEPTH,
     NEAR_DUP_INTRO,
     RULE_DOCS,
@@ -22,6 +27,7 @@ from ledgerfold.constants import (
     SEVERITIES,
     SEVERITY_DOCS,
     STATUS_OK,
+    UNCLASSIFIED_DETAIL,
     ZERO_BYTE_DETAIL,
 )
 from ledgerfold.functions.content import type_disagrees
@@ -58,26 +64,31 @@ def out_of_range(day: Column, as_of: dt.date) -> Column:
     return (F.year(day) < EARLIEST_YEAR) | (day > F.lit(as_of))
 
 
+def _filled(template: str, *values: str) -> str:
+    """SQL that puts values in the places of a text."""
+    parts = [sql_text(part) for part in template.split("{}")]
+    filled = [piece for pair in zip(parts, [*values, None]) for piece in pair if piece not in (None, "r''")]
+    return f"concat({', '.join(filled)})"
+
+
 def _file_rules(as_of: dt.date) -> dict[str, tuple[str, str]]:
     """(condition, detail) of every rule that looks at one manifest row, in SQL."""
     archives = ", ".join(map(sql_text, ARCHIVE_EXTENSIONS))
-    day = as_of.isoformat()
     return {
         "ZERO_BYTE": ("size_bytes = 0 OR true_type = 'empty'", sql_text(ZERO_BYTE_DETAIL)),
         "JUNK_FILE": ("_junk", sql_text(JUNK_DETAIL)),
         "ARCHIVE": (f"lower(extension) IN ({archives})", sql_text(ARCHIVE_DETAIL)),
         "EXT_MISMATCH": (
             "NOT _junk AND true_type NOT IN ('empty', 'unknown') AND _disagrees",
-            """concat("extension '", lower(extension), "' but content is '", true_type, "'")""",
+            _filled(EXT_MISMATCH_DETAIL, "lower(extension)", "true_type"),
         ),
         "DATE_ANOMALY": (
             "_out_of_range",
-            "concat('modified date ', date_format(modified, 'yyyy-MM-dd'), "
-            f"' is out of range (before 2000 or after {day})')",
+            _filled(DATE_ANOMALY_DETAIL, "date_format(modified, 'yyyy-MM-dd')", sql_text(as_of.isoformat())),
         ),
         "DEEP_NESTING": (
             f"_depth > {MAX_FOLDER_DEPTH}",
-            "concat(_depth, ' folders deep — easy to miss in a manual review')",
+            _filled(DEEP_NESTING_DETAIL, "_depth"),
         ),
         "NAMING": ("NOT _junk AND _reasons <> ''", "_reasons"),
     }
@@ -223,14 +234,14 @@ def classification_findings(
         {"_ok": F.col("status") == STATUS_OK, "_hint": strip(F.col("folder_hint"))}
     )
     known = {
-        "UNCLASSIFIED": ("NOT _ok", "concat('no classification assigned — ', reason)"),
+        "UNCLASSIFIED": ("NOT _ok", _filled(UNCLASSIFIED_DETAIL, "reason")),
         "CLASS_CONFLICT": (
             "_ok AND _hint <> '' AND label <> _hint",
-            """concat("content reads as '", label, "' but the file sits in a '", _hint, "' folder")""",
+            _filled(CLASS_CONFLICT_DETAIL, "label", "_hint"),
         ),
         "LOW_CONFIDENCE": (
             f"_ok AND confidence < {floor}D",
-            f"concat('model confidence ', confidence, ' is below {floor} — verify by hand')",
+            _filled(LOW_CONFIDENCE_DETAIL, "confidence", sql_text(str(floor))),
         ),
     }
     return _explode_findings(facts, {rule: known[rule] for rule in rules})

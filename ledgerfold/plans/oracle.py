@@ -7,10 +7,19 @@ tables as they are.
 from __future__ import annotations
 
 from ledgerfold.constants import (
+    ARCHIVE_DETAIL,
+    CLASS_CONFLICT_DETAIL,
+    DATE_ANOMALY_DETAIL,
+    DEEP_NESTING_DETAIL,
+    EXT_MISMATCH_DETAIL,
+    JUNK_DETAIL,
+    LOW_CONFIDENCE_DETAIL,
     RULE_DOCS,
     RULE_SEVERITY,
     SEVERITY_DOCS,
+    UNCLASSIFIED_DETAIL,
     WHITESPACE,
+    ZERO_BYTE_DETAIL,
 )
 
 AS_OF = "DATE '2026-07-21'"
@@ -118,34 +127,39 @@ CLS_COLUMNS = "path, name, chars, label, confidence, folder_hint, status, reason
 
 # --- findings ----------------------------------------------------------------
 
+def _filled(template: str, *values: str) -> str:
+    """SQL that puts values in the places of a text."""
+    parts = [_text(part) for part in template.split("{}")]
+    return " || ".join(piece for pair in zip(parts, [*values, ""]) for piece in pair if piece)
+
+
 _ROW_RULES = {
-    "ZERO_BYTE": ("size_bytes = 0 OR true_type = 'empty'", "'file is empty (0 bytes)'"),
-    "JUNK_FILE": ("junk", "'OS/application junk file — should not ship in a client set'"),
+    "ZERO_BYTE": ("size_bytes = 0 OR true_type = 'empty'", _text(ZERO_BYTE_DETAIL)),
+    "JUNK_FILE": ("junk", _text(JUNK_DETAIL)),
     "ARCHIVE": (
         "lext IN ('.zip', '.rar', '.7z', '.tar', '.gz', '.tgz')",
-        "'archive — contents are invisible until expanded'",
+        _text(ARCHIVE_DETAIL),
     ),
     "EXT_MISMATCH": (
         "NOT junk AND true_type NOT IN ('empty', 'unknown') AND expected <> '' AND expected <> true_type",
-        "'extension ''' || lext || ''' but content is ''' || true_type || ''''",
+        _filled(EXT_MISMATCH_DETAIL, "lext", "true_type"),
     ),
     "DATE_ANOMALY": (
         f"year(modified) < 2000 OR modified > {AS_OF}",
-        "'modified date ' || strftime(modified, '%Y-%m-%d') || "
-        "' is out of range (before 2000 or after 2026-07-21)'",
+        _filled(DATE_ANOMALY_DETAIL, "strftime(modified, '%Y-%m-%d')", "'2026-07-21'"),
     ),
-    "DEEP_NESTING": ("depth > 2", "depth || ' folders deep — easy to miss in a manual review'"),
+    "DEEP_NESTING": ("depth > 2", _filled(DEEP_NESTING_DETAIL, "depth")),
     "NAMING": ("NOT junk AND reasons <> ''", "reasons"),
 }
 _CLASS_RULES = {
-    "UNCLASSIFIED": ("status <> 'ok'", "'no classification assigned — ' || reason"),
+    "UNCLASSIFIED": ("status <> 'ok'", _filled(UNCLASSIFIED_DETAIL, "reason")),
     "CLASS_CONFLICT": (
         "status = 'ok' AND folder_hint <> '' AND label <> folder_hint",
-        "'content reads as ''' || label || ''' but the file sits in a ''' || folder_hint || ''' folder'",
+        _filled(CLASS_CONFLICT_DETAIL, "label", "folder_hint"),
     ),
     "LOW_CONFIDENCE": (
         "status = 'ok' AND confidence < 0.75",
-        "'model confidence ' || confidence || ' is below 0.75 — verify by hand'",
+        _filled(LOW_CONFIDENCE_DETAIL, "confidence", "'0.75'"),
     ),
 }
 
@@ -511,9 +525,9 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT gate, 0 FROM (VALUES ('every file classified once'), ('classifier findings derived again'), ('paths unique'), ('planted dates intact')) v(gate))"""),
         "binary_types": _BINARY + "SELECT path, extension, true_type, size_bytes, stem FROM odd",
         "binary_findings": _BINARY + f"""SELECT path, name, 'EXT_MISMATCH' AS rule_id, '{RULE_SEVERITY["EXT_MISMATCH"]}' AS severity,
-              'extension ''' || lower(extension) || ''' but content is ''' || true_type || '''' AS detail FROM odd
+              {_filled(EXT_MISMATCH_DETAIL, 'lower(extension)', 'true_type')} AS detail FROM odd
             WHERE true_type NOT IN ('empty', 'unknown') AND want <> '' AND true_type <> want
-          UNION ALL SELECT path, name, 'ZERO_BYTE', '{RULE_SEVERITY["ZERO_BYTE"]}', 'file is empty (0 bytes)' FROM odd WHERE true_type = 'empty'
+          UNION ALL SELECT path, name, 'ZERO_BYTE', '{RULE_SEVERITY["ZERO_BYTE"]}', {_text(ZERO_BYTE_DETAIL)} FROM odd WHERE true_type = 'empty'
           UNION ALL SELECT path, name, 'NAMING', '{RULE_SEVERITY["NAMING"]}', reasons FROM odd WHERE reasons <> '' AND lower(name) <> '.ds_store'""",
         # sources and sinks
         "file_inventory": _dm("""SELECT path, name, extension, true_type, size_bytes, sha256,
