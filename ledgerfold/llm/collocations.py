@@ -142,38 +142,42 @@ class Batch:
         pass also gives the number of all words, as size 0. Pairs of the `paired` words are counted elsewhere.
         """
         words, spelt = self.numbered()
-        own = np.fromiter((xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()), np.uint64, len(spelt))
-        at = np.flatnonzero(words)
+        own = np.fromiter(map(xxhash.xxh64_intdigest, spelt.to_pylist()), np.uint64, len(spelt))
         single = _grown(np.full(len(own), _seed(self.lang)), own)
-        hashes = single[words]
+        inside = words != 0
         if 1 in sizes and not done:
-            counts = np.bincount(words[at], minlength=len(spelt))
-            yield self._rows(pa.array([b""], pa.large_binary()), 0, np.array([len(at)]))
+            counts = np.bincount(words, minlength=len(spelt))
+            yield self._rows(pa.array([b""], pa.large_binary()), 0, np.array([int(inside.sum())]))
             yield self._rows(spelt.slice(1), 1, counts[1:])
         # For each field, whether it lets a phrase be counted from a place; words always are.
         fields = [*([member] if member else []), *done]
-        lets = [words != 0 for _ in fields]
+        pairs = np.append(inside[:-1] & inside[1:], False)
+        lets = []
+        for field in fields:
+            # Asked once for each word that occurs, not for each place.
+            known = field.holds(single)[words]
+            lets.append(pairs & known & np.append(known[1:], False))
+        at = np.flatnonzero(lets[0] if member else pairs)
+        hashes = np.zeros(len(words), np.uint64)
         for size in range(2, sizes.stop):
-            at = at[words[at + size - 1] != 0]
-            # The parts without the last and without the first word.
-            short, rest = hashes[at], hashes[at + 1]
-            for n, field in enumerate(fields):
-                if size == 2:
-                    # Asked once for each word that occurs, not for each place.
-                    member_word = field.holds(single)
-                    held = member_word[words[at]] & member_word[words[at + 1]]
-                else:
+            if size == 2:
+                grown = _grown(single[words[at]], own[words[at + 1]])
+            else:
+                # The parts without the last and without the first word.
+                at = at[words[at + size - 1] != 0]
+                short, rest = hashes[at], hashes[at + 1]
+                for n, field in enumerate(fields):
                     held = lets[n][at] & lets[n][at + 1] & field.holds(short) & field.holds(rest)
-                lets[n] = np.zeros(len(words), bool)
-                lets[n][at] = held
-            if member:
-                at = at[lets[0][at]]
+                    lets[n] = np.zeros(len(words), bool)
+                    lets[n][at] = held
+                if member:
+                    at = at[lets[0][at]]
+                grown = _grown(hashes[at], own[words[at + size - 1]])
+                hashes[:] = 0
+            hashes[at] = grown
             counted = np.zeros(len(at), bool)
             for let in lets[1 if member else 0 :]:
                 counted |= let[at]
-            grown = _grown(hashes[at], own[words[at + size - 1]])
-            hashes[:] = 0
-            hashes[at] = grown
             if size == 2 and paired is not None:
                 known = pc.is_in(spelt, value_set=paired).to_numpy(zero_copy_only=False)
                 counted |= known[words[at]] & known[words[at + 1]]
