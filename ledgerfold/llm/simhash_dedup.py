@@ -8,10 +8,11 @@ points are then routed, whatever their number: each to its own shard, and as a q
 shard that the triangle bound leaves open (a shell from lo to hi can hold a partner of a
 point at distance d only if lo - 3 <= d <= hi + 3). So each pair meets in exactly one shard.
 
-A late shard is open to most points. Its own points and its queries are therefore cut into pieces of
-about SHARD points by a hash, sized from the routes of the sample, and every piece of own points
-meets every later piece of the shard in a cell of its own. So a task compares two pieces, whatever
-the number of points, and each pair still meets once.
+A late shard is open to most points. Its own points are therefore cut into pieces of about SHARD points
+and its queries into pieces of QUERIES by a hash, sized from the routes of the sample, and every piece of
+own points meets every later piece of the shard in a cell of its own (the first piece of queries in the
+piece's own cell). So a task compares a piece with itself and another, whatever the number of points,
+and each pair still meets once.
 
 A cell is searched the same way in memory: blocks of points split by vantage points until a
 comparison of all pairs is cheap; what remains is compared exactly. Of the pairs found only links that
@@ -46,6 +47,7 @@ SEED = 42
 RADIUS = 3
 SAMPLE = 20_000
 SHARD = 50_000
+QUERIES = 200_000
 DEPTH = 6  # of the tree of shards
 BLOCK = 1 << 18  # pairs compared at once
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -159,13 +161,17 @@ def route(tree: Tree, points: np.ndarray, radius: int = RADIUS) -> tuple[np.ndar
     return which[kept], shard[kept], own[kept]
 
 
-def pieces(tree: Tree, sample: np.ndarray, total: int, piece: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+def pieces(
+    tree: Tree, sample: np.ndarray, total: int, own_piece: int = SHARD, query_piece: int = QUERIES
+) -> tuple[np.ndarray, np.ndarray]:
     """For every shard the numbers of pieces of its own points and of its queries, estimated from the sample."""
     _, shard, own = route(tree, sample)
     share = max(1.0, total / max(1, len(sample)))
     shards = int(shard.max(initial=0)) + 1
-    sizes = [np.bincount(shard[mask], minlength=shards) * share for mask in (own, ~own)]
-    return tuple(np.maximum(1, np.ceil(size / piece)).astype(np.int64) for size in sizes)
+    counts = [np.bincount(shard[mask], minlength=shards) * share for mask in (own, ~own)]
+    return tuple(
+        np.maximum(1, np.ceil(count / piece)).astype(np.int64) for count, piece in zip(counts, (own_piece, query_piece))
+    )
 
 
 def deal(
@@ -174,7 +180,7 @@ def deal(
     """(index of the point, shard, left piece, right piece, whether it is the left one's) for every cell a point goes to.
 
     A shard's pieces are its own ones, then those of its queries; cells are pairs of an own piece and
-    itself or a later one.
+    itself or a later one, and the first piece of queries joins the cells of own pieces and themselves.
     """
     which, shard, own = route(tree, points)
     # A shard no point of the sample has come to is of one piece.
@@ -183,11 +189,15 @@ def deal(
     others = np.where(shard < len(homes), queries[known], 1)
     mixed = (points[which] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
     piece = (mixed % np.where(own, mine, others).astype(np.uint64)).astype(np.int64) + np.where(own, 0, mine)
-    cells = np.where(own, mine + others, mine)
+    cells = np.where(own, mine + others - 1, mine)
     row = np.repeat(np.arange(len(which)), cells)
+    here, is_own, first_query = piece[row], own[row], mine[row]
     other = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells)
-    here = piece[row]
-    return which[row], shard[row], np.minimum(here, other), np.maximum(here, other), here <= other
+    # An own point's cells leave out that of the first piece of queries, which come to it.
+    other = other + (is_own & (other >= first_query))
+    left, right = np.minimum(here, other), np.maximum(here, other)
+    right = np.where(~is_own & (here == first_query), left, right)
+    return which[row], shard[row], left, right, is_own & (here <= other)
 
 
 # --- pairs within a cell --------------------------------------------------------------------------------------
@@ -209,8 +219,8 @@ class Links:
                 self.root = self.root[self.root]
 
 
-def link_close(points: np.ndarray, left: np.ndarray, links: Links, radius: int = RADIUS) -> None:
-    """Adds every pair within the radius of a left and another point; where all are left, of any two."""
+def link_close(points: np.ndarray, left: np.ndarray, inside: bool, links: Links, radius: int = RADIUS) -> None:
+    """Adds every pair within the radius of a left and another point, and `inside` those of two left ones."""
 
     def compare(a: np.ndarray, b: np.ndarray) -> None:
         rows = max(1, BLOCK // max(1, len(b)))
@@ -241,18 +251,16 @@ def link_close(points: np.ndarray, left: np.ndarray, links: Links, radius: int =
             within(a[far == at], left - 1)
             across(a[far == at], a[(far > at) & (far <= at + radius)], left - 1)
 
-    if left.all():
-        within(np.arange(len(points)), 8)
-    else:
-        across(np.flatnonzero(left), np.flatnonzero(~left), 8)
+    lefts, rights = np.flatnonzero(left), np.flatnonzero(~left)
+    if inside:
+        within(lefts, 8)
+    across(lefts, rights, 8)
 
 
 def _cell_links(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
     points = cell["point"].to_numpy(np.int64).view(np.uint64)
-    links, left = Links(len(points)), cell["first"].to_numpy(bool)
-    # Without a right piece there is nothing to compare, but in the cell of a piece and itself.
-    if key[1] == key[2] or not left.all():
-        link_close(points, left, links)
+    links = Links(len(points))
+    link_close(points, cell["first"].to_numpy(bool), key[1] == key[2], links)
     joined = np.flatnonzero(links.root != np.arange(len(points)))
     signed = points.view(np.int64)
     return pd.DataFrame({"a": signed[links.root[joined]], "b": signed[joined]})

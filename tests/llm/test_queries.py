@@ -197,7 +197,7 @@ def test_cells_lose_no_pair(shard, piece):
     tree = simhash_dedup.build_tree(points[::3], len(points), shard=shard)
     which, shards, own = simhash_dedup.route(tree, points)
     assert np.array_equal(np.sort(which[own]), np.arange(len(points)))
-    homes, queries = simhash_dedup.pieces(tree, points[::3], len(points), piece)
+    homes, queries = simhash_dedup.pieces(tree, points[::3], len(points), piece, piece)
     which, shards, left, right, first = simhash_dedup.deal(tree, homes, queries, points)
     links, sizes = simhash_dedup.Links(len(points)), []
     for cell in sorted(set(zip(shards.tolist(), left.tolist(), right.tolist()))):
@@ -209,6 +209,8 @@ def test_cells_lose_no_pair(shard, piece):
         sizes.append(int(here.sum()))
     assert links.root.tolist() == plain_components(points)
     # A cell holds two pieces, which are of about `piece` points; small ones vary more.
+    if piece == 10_000:
+        assert len(which) == len(simhash_dedup.route(tree, points)[0])
     assert max(sizes) <= 2 * piece + 8 * piece**0.5 + 10
 
 
@@ -216,11 +218,11 @@ def test_cells_stay_bounded_at_a_million_points():
     rng = np.random.default_rng(9)
     points = rng.integers(0, 1 << 64, 1_000_000, dtype=np.uint64)
     tree = simhash_dedup.build_tree(points[: simhash_dedup.SAMPLE], len(points))
-    homes, queries = simhash_dedup.pieces(tree, points[: simhash_dedup.SAMPLE], len(points))
     _, routed, _ = simhash_dedup.route(tree, points)
+    assert np.bincount(routed).max() > 200_000  # what one shard would hold
+    homes, queries = simhash_dedup.pieces(tree, points[: simhash_dedup.SAMPLE], len(points), query_piece=50_000)
     _, shard, left, right, _ = simhash_dedup.deal(tree, homes, queries, points)
-    _, sizes = np.unique(np.stack([shard, left, right]), axis=1, return_counts=True)
-    assert np.bincount(routed).max() > 200_000  # what one shard would have held
+    _, sizes = np.unique(shard * 10_000 + left * 100 + right, return_counts=True)
     assert sizes.max() <= 2.2 * simhash_dedup.SHARD
     assert len(shard) <= 20 * len(points)
 
