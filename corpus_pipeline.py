@@ -32,8 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source and lang with the number of tokens and the digests of ids and decoded bytes."""
-    narrow = docs.select("doc_id", "source", "lang", "text")
-    return bpe.round_trip_digests(spark, narrow, codec()).drop("text")
+    return bpe.round_trip_digests(spark, docs, codec(), keep=["doc_id", "source", "lang"])
 
 
 STAGES = [

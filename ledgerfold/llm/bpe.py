@@ -19,7 +19,7 @@ import base64
 import hashlib
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE = 1 << 18
+CACHE = 1 << 17
 ZERO = "\u0100"  # stands for the byte 0, which a piece must not hold
 UNKNOWN = "\u0101"  # no byte's character, so no text needs it
 
@@ -144,8 +144,10 @@ class Codec:
         self.whole = {token: rank for rank, token in enumerate(self.tokens)}
         self.cut_basic, self.cut_any = (re.compile(pattern).findall for pattern in self.patterns)
         # Pre-tokens and their ids, in two generations: the older one goes when the younger is full.
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        # One number object an id, however many pre-tokens hold it.
+        self.numbers = list(range(len(self.tokens) + 1))
         self.decimals = [str(i) for i in range(len(self.tokens))]
         self.back = [self._bytes_of(self.processor.id_to_piece(i)) for i in range(len(self.tokens))]
 
@@ -160,7 +162,7 @@ class Codec:
                 if rank is None:
                     unknown.append(part)
                     continue
-                ids = [rank]
+                ids = (self.numbers[rank],)
             self.young[part] = ids
         if unknown:
             # One call for all: the separator is unknown to the model, so nothing merges across it.
@@ -170,7 +172,7 @@ class Codec:
             at = 0
             for part in unknown:
                 end = ids.index(len(self.tokens), at)
-                self.young[part] = ids[at:end]
+                self.young[part] = tuple(map(self.numbers.__getitem__, ids[at:end]))
                 at = end + 1
 
     @staticmethod
@@ -207,21 +209,30 @@ def make_codec(path: str, pattern: str) -> Codec:
 
 
 def _with_columns(
-    df: DataFrame, name: str, wanted: list[T.StructField], work: Callable[[pa.Array], list[pa.Array]]
+    df: DataFrame,
+    name: str,
+    wanted: list[T.StructField],
+    work: Callable[[pa.Array], list[pa.Array]],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """df with columns made from one of its columns, batch by batch; they replace columns of their name."""
+    """df, or its columns in `keep`, with columns made from one of its columns, batch by batch; they replace columns of their name.
+
+    The column goes to Python once, and comes back only where it is kept.
+    """
     taken = {field.name.lower() for field in wanted}
-    kept = [field for field in df.schema.fields if field.name.lower() not in taken]
+    kept = [df.schema[n] for n in df.columns if n.lower() not in taken] if keep is None else [df.schema[n] for n in keep]
     names = [field.name for field in kept]
+    at = names.index(name) if name in names else len(names)
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            made = work(batch.column(batch.num_columns - 1))
+            made = work(batch.column(at))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], *made], names=[*names, *(field.name for field in wanted)]
             )
 
-    given = df.select(*[F.col(f"`{n}`") for n in names], F.col(name).alias("__given"))
+    apart = [F.col(name).alias("__given")] if at == len(names) else []
+    given = df.select(*[F.col(f"`{n}`") for n in names], *apart)
     return given.mapInArrow(batches, T.StructType([*kept, *wanted]))
 
 
@@ -251,8 +262,10 @@ def decode(spark: SparkSession, df: DataFrame, codec: Codec, ids_col: str = "ids
     )
 
 
-def round_trip_digests(spark: SparkSession, df: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
-    """df with n_tokens, ids_sha256 and decoded_sha256: each text is encoded, and its ids decoded."""
+def round_trip_digests(
+    spark: SparkSession, df: DataFrame, codec: Codec, text_col: str = "text", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """df, or its columns in `keep`, with n_tokens, ids_sha256 and decoded_sha256: each text is encoded, and its ids decoded."""
     shared = spark.sparkContext.broadcast(codec)
 
     def work(column: pa.Array) -> list[pa.Array]:
@@ -273,4 +286,5 @@ def round_trip_digests(spark: SparkSession, df: DataFrame, codec: Codec, text_co
             T.StructField("decoded_sha256", T.StringType()),
         ],
         work,
+        keep,
     )

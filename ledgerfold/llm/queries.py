@@ -94,7 +94,7 @@ def codec() -> bpe.Codec:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.round_trip_digests(spark, docs, codec()).drop("text")
+    return bpe.round_trip_digests(spark, docs, codec(), keep=["doc_id"])
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,3 +28,18 @@ def test_contents_never_become_whole_frames(spark):
     got = {r.path: r.text for r in read.collect()}
     assert got == {path: body for path, *_, body in rows}
     assert authors.where(F.col("author") == "Unassigned").count() == 600
+
+
+def test_texts_go_to_the_encoder_once(spark):
+    from ledgerfold.llm import bpe
+    from ledgerfold.llm.queries import codec
+
+    docs = spark.createDataFrame([(1, "de", "ein Wort, zwei"), (2, "en", None)], "doc_id LONG, lang STRING, text STRING")
+    made = codec()
+    slim = bpe.round_trip_digests(spark, docs, made, keep=["doc_id"])
+    whole = bpe.round_trip_digests(spark, docs, made)
+    assert slim.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert whole.columns == ["doc_id", "lang", "text", *slim.columns[1:]]
+    assert sorted(slim.collect()) == sorted(whole.drop("lang", "text").collect())
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "__given" not in plan
