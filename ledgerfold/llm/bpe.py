@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerfold.sources.batches import bound_batches
+
 CACHE = 1 << 17
 ZERO = "\u0100"  # stands for the byte 0, which a piece must not hold
 UNKNOWN = "\u0101"  # no byte's character, so no text needs it
@@ -233,6 +235,7 @@ def _with_columns(
 
     apart = [F.col(name).alias("__given")] if at == len(names) else []
     given = df.select(*[F.col(f"`{n}`") for n in names], *apart)
+    bound_batches(df.sparkSession)
     return given.mapInArrow(batches, T.StructType([*kept, *wanted]))
 
 

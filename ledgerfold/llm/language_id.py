@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerfold.sources.batches import bound_batches
+
 PER_LANGUAGE = 400
 CENTROIDS = 4
 ROUNDS = 10
@@ -232,6 +234,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=names)
 
     given = docs.select(*[F.col(f"`{field.name}`") for field in kept], F.col("text").alias("__text"))
+    bound_batches(spark)
     return given.mapInArrow(batches, T.StructType([*kept, *wanted]))
 
 

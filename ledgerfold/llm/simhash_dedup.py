@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.components import components
+from ledgerfold.sources.batches import bound_batches
 from ledgerfold.sources.staging import stage
 
 SHINGLE = 3
@@ -92,6 +93,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), _text_digest(text_col).alias("digest")
     )
+    bound_batches(docs.sparkSession)
     return narrow.mapInArrow(_fingerprint_batches, f"id {kind}, point long, digest long")
 
 

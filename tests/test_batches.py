@@ -43,3 +43,31 @@ def test_texts_go_to_the_encoder_once(spark):
     assert sorted(slim.collect()) == sorted(whole.drop("lang", "text").collect())
     plan = whole._jdf.queryExecution().optimizedPlan().toString()
     assert "__given" not in plan
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    from ledgerfold.llm import bpe, language_id, simhash_dedup
+
+    own = spark.conf.get(batches.SENT_LIMIT)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    empty = language_id.fit([])
+
+    def sizes(found):
+        for batch in found:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], names=["n"])
+
+    try:
+        for sent in (
+            lambda: bpe._with_columns(docs, "text", [], lambda column: []),
+            lambda: language_id.identify(spark, docs, empty),
+            lambda: simhash_dedup.fingerprints(docs),
+        ):
+            spark.conf.set(batches.SENT_LIMIT, "64m")
+            sent()
+            held = [row.n for row in docs.mapInArrow(sizes, "n LONG").collect()]
+            assert sum(held) == 3000 and max(held) * 5000 <= batches.SENT_BYTES * 1.1
+        spark.conf.set(batches.SENT_LIMIT, "1m")
+        batches.bound_batches(spark)
+        assert spark.conf.get(batches.SENT_LIMIT) == "1m"
+    finally:
+        spark.conf.set(batches.SENT_LIMIT, own)
