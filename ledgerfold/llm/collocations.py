@@ -53,6 +53,8 @@ SAMPLE_PARTS = 8
 LOWERED = 0.4
 BATCH_BYTES = 6_000_000
 ROWS_OUT = 50_000
+# A pass looks ahead where the border's failures have at most this part of all words: its candidates hold one of them each.
+AHEAD = 16
 # Up to this many proposed words are numbered, and their pairs counted by numbers instead of by words.
 PAIRED_WORDS = 1_000_000
 MIN_BITS, MAX_BITS, BITS_A_PHRASE = 16, 27, 64
@@ -134,12 +136,13 @@ class Batch:
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts.astype(np.int64))], names=["pair", "n"])
 
     def phrases(
-        self, sizes: range, member: Field | None, done: list[Field], paired: pa.Array | None = None
+        self, sizes: range, member: Field | None, done: list[Field], paired: pa.Array | None = None, ahead: bool = False
     ) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, size, n): words, and longer phrases whose parts of every size are members.
 
         Left out is what a pass with one of the earlier fields has counted by the same rule. A first
         pass also gives the number of all words, as size 0. Pairs of the `paired` words are counted elsewhere.
+        A pass that looks ahead takes phrases it counts itself as members too.
         """
         words, spelt = self.numbered()
         own = np.fromiter(map(xxhash.xxh64_intdigest, spelt.to_pylist()), np.uint64, len(spelt))
@@ -159,6 +162,7 @@ class Batch:
             lets.append(pairs & known & np.append(known[1:], False))
         at = np.flatnonzero(lets[0] if member else pairs)
         hashes = np.zeros(len(words), np.uint64)
+        own_count = np.zeros(len(words), bool)  # the places of the last size that this pass counts
         for size in range(2, sizes.stop):
             if size == 2:
                 grown = _grown(single[words[at]], own[words[at + 1]])
@@ -167,7 +171,10 @@ class Batch:
                 at = at[words[at + size - 1] != 0]
                 short, rest = hashes[at], hashes[at + 1]
                 for n, field in enumerate(fields):
-                    held = lets[n][at] & lets[n][at + 1] & field.holds(short) & field.holds(rest)
+                    first, last = field.holds(short), field.holds(rest)
+                    if ahead and n == 0:
+                        first, last = first | own_count[at], last | own_count[at + 1]
+                    held = lets[n][at] & lets[n][at + 1] & first & last
                     lets[n] = np.zeros(len(words), bool)
                     lets[n][at] = held
                 if member:
@@ -182,6 +189,9 @@ class Batch:
                 known = pc.is_in(spelt, value_set=paired).to_numpy(zero_copy_only=False)
                 counted |= known[words[at]] & known[words[at + 1]]
             wanted = at[~counted]
+            if ahead:
+                own_count[:] = False
+                own_count[wanted] = True
             if size in sizes and len(wanted):
                 first, counts = self._groups(words, wanted, hashes[wanted], size)
                 parts = [spelt.take(pa.array(words[first + k])) for k in range(size)]
@@ -242,7 +252,12 @@ def _batches(given: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
 
 
 def count_phrases(
-    docs: DataFrame, sizes: range, member: Field | None, done: list[Field], paired: dict[str, pa.Array] | None = None
+    docs: DataFrame,
+    sizes: range,
+    member: Field | None,
+    done: list[Field],
+    paired: dict[str, pa.Array] | None = None,
+    ahead: bool = False,
 ) -> DataFrame:
     """(lang, phrase, size, n) over docs (lang, text); `paired` are words whose pairs are left out."""
     shared = docs.sparkSession.sparkContext.broadcast((member, done, paired or {}))
@@ -250,7 +265,7 @@ def count_phrases(
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, done, paired = shared.value
         for full in _batches(given):
-            for rows in full.phrases(sizes, member, done, paired.get(full.lang)):
+            for rows in full.phrases(sizes, member, done, paired.get(full.lang), ahead):
                 for at in range(0, rows.num_rows, ROWS_OUT):
                     yield rows.slice(at, ROWS_OUT)
 
@@ -348,14 +363,17 @@ def frequent_phrases(
     frequent = counted.where("size > 0")
     # Phrases of the longest size have no longer ones.
     failures = frequent.where(F.col("size") < MAX_WORDS).join(proposed, ["lang", "phrase"], "left_anti")
-    while failures.take(1):
+    words = totals.agg(F.sum("total")).first()[0] or 0
+    while uses := failures.agg(F.sum("n")).first()[0]:
         # Phrases counted before have both parts in one of the earlier fields.
-        known = field_of(frequent)
+        known, ahead = field_of(frequent), uses * AHEAD <= words
         more = stage(
-            count_phrases(narrow, range(2, MAX_WORDS + 1), known, fields).where(F.col("n") >= min_count), "expanded"
+            count_phrases(narrow, range(2, MAX_WORDS + 1), known, fields, None, ahead).where(F.col("n") >= min_count), "expanded"
         )
         fields.append(known)
         frequent = frequent.union(more)
+        if ahead:
+            break
         failures = more.where(F.col("size") < MAX_WORDS)
     return stage(frequent, "frequent"), totals
 

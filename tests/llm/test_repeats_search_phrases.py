@@ -247,6 +247,23 @@ def test_failures_of_the_border_are_expanded(spark, monkeypatch):
     assert max(passes) >= 3
 
 
+@pytest.mark.parametrize("parts, lowered, bits", [(8, 1000.0, 27), (8, 2.0, 27), (4, 1.5, 9)])
+def test_few_failures_are_expanded_in_one_pass(spark, monkeypatch, parts, lowered, bits):
+    """A pass that looks ahead counts phrases of all sizes, whatever the sample proposed."""
+    rows = phrase_rows(parts + bits)
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    passes = []
+    count = collocations.count_phrases
+    monkeypatch.setattr(collocations, "AHEAD", 0, raising=False)
+    monkeypatch.setattr(collocations, "MAX_BITS", bits)
+    monkeypatch.setattr(collocations, "MIN_BITS", 7)
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(collocations, "count_phrases", lambda *a: passes.append(len(a[3])) or count(*a))
+    found = collocations.collocations(docs, min_count=12, sample_parts=parts, lowered=lowered).collect()
+    assert sorted(str(tuple(r)) for r in found) == plain_phrases([row[1:] for row in rows], 12, 2000)
+    assert passes.count(1) == 1 and max(passes) == 1
+
+
 def test_words_of_one_hash_are_counted_apart():
     import numpy as np
 
