@@ -71,3 +71,14 @@ def test_texts_go_to_workers_in_small_batches(spark):
         assert spark.conf.get(batches.SENT_LIMIT) == "1m"
     finally:
         spark.conf.set(batches.SENT_LIMIT, own)
+
+
+def test_files_are_written_from_small_batches(spark):
+    own = spark.conf.get(batches.SENT_LIMIT)
+    files = spark.createDataFrame([("corpus/a.txt", "x")], "path STRING, body STRING").withColumn("modified", F.lit("2026-01-02").cast("timestamp_ntz"))
+    try:
+        spark.conf.set(batches.SENT_LIMIT, "64m")
+        derived.write_collection(files)
+        assert spark.conf.get(batches.SENT_LIMIT) == str(batches.SENT_BYTES)
+    finally:
+        spark.conf.set(batches.SENT_LIMIT, own)
